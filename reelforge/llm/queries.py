@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelforge.llm.common import table
+from reelforge.llm.common import crc_of_id, table
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,24 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), encoder)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelforge.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    held = crc_of_id(F.col("doc_id")) % 5 == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelforge.llm import quality
+
+    held = crc_of_id(F.col("doc_id")) % 4 == 2
+    scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelforge.llm.mixing import mix
 
