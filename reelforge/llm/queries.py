@@ -39,6 +39,18 @@ def op9_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelforge.llm.secrets import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelforge.llm.media import text_media
+
+    return text_media(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelforge.llm.mixing import mix
 
