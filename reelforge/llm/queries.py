@@ -51,6 +51,14 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_media(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelforge.llm.licenses import scan
+
+    found = scan(table(spark, sf_dir, "documents"))
+    parts = F.transform("spans", lambda s: F.concat_ws(":", s.license, s.start, s.end, s.wording, s["diff"]))
+    return found.select("doc_id", "n_blocks", "n_found", "licenses", F.concat_ws(",", parts).alias("spans"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelforge.llm.mixing import mix
 
