@@ -118,22 +118,19 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
     schema = "a long, b long"
-    e = cut(e.mapInArrow(_contract, schema).distinct())
+    e = cut(e.repartition("a").mapInArrow(_contract, schema).distinct())
     for _ in range(max_rounds):
+        # done when every node hangs on one root that hangs on nothing
+        if not e.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() and not e.join(e.select(F.col("b").alias("a")), "a", "left_semi").limit(1).count():
+            break
         # large star: every neighbour above a node moves to that node's least neighbour
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         # small star: every neighbour below a node, and the node, move to the least of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("s"))
-        new = cut(small.select("s.a", "s.b").where("a <> b").mapInArrow(_contract, schema).distinct())
-        # done when every node hangs on one root that hangs on nothing
-        tops = new.select("a").intersect(new.select("b")).limit(1).count()
-        many = new.groupBy("a").count().where("count > 1").limit(1).count()
-        e = new
-        if not tops and not many:
-            break
+        small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("s"))
+        e = cut(small.select("s.a", "s.b").where("a <> b").repartition("a").mapInArrow(_contract, schema).distinct())
     else:
         raise RuntimeError(f"components: not settled after {max_rounds} rounds")
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
