@@ -51,6 +51,12 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_media(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelforge.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelforge.llm.embeddings import near_duplicates
 
