@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from reelforge.llm.common import crc_of_id, table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelforge.llm.suffix import dedup
+
+    return dedup(table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelforge.llm import packing
 
