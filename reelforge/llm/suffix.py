@@ -6,7 +6,8 @@ A byte goes if a string of WINDOW bytes covers it that also starts in a document
    of the GRAM-byte strings in it: equal windows have equal minimizers. Blocks send their distinct minimizers to
    ranges of hash values, which answer with one bit each: does another document have it too?
 2. Maximal runs of windows with one such shared minimizer go, as strings and only once per block, to the minimizer's range.
-   There equal strings are held once, with the least doc_id, and shards of them get a Burrows-Wheeler transform each.
+   There equal strings are held once, with the least doc_id. Windows of different strings can be equal only under the same
+   minimizer, so strings that are alone with theirs are done; shards of all others get a Burrows-Wheeler transform each.
 3. The shards' transforms are merged by iterative interleave refinement: a round extends the common prefix of all rows by one
    symbol, reading the transforms and their last-to-first maps only; suffixes are never sorted again. Intervals of one row are
    settled and leave. An interval that is left after WINDOW rounds is a repeated interval with a common prefix of
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -213,12 +215,12 @@ def _shared(hot_blocks: int):
 # --- strings of shared runs ---------------------------------------------------------------------
 
 
-def _packed(parts: dict[bytes, int], occurrences: list[tuple[int, int, int]], ids: np.ndarray) -> bytes:
-    """Strings and their occurrences (string, document row, place in the document) as one compressed value."""
+def _packed(parts: dict[bytes, int], minimizers: list[int], occurrences: list[tuple[int, int, int]], ids: np.ndarray) -> bytes:
+    """Strings with minimizers and their occurrences (string, document row, place in the document) as one compressed value."""
     o = np.array(occurrences, "<i8").reshape(-1, 3)
     lens = np.array([len(s) for s in parts], "<i4")
     head = np.array([len(lens), len(o)], "<i8")
-    raw = head.tobytes() + lens.tobytes() + o[:, 0].astype("<i4").tobytes() + o[:, 1].astype("<i4").tobytes() + ids[o[:, 1]].astype("<i8").tobytes() + o[:, 2].tobytes() + b"".join(parts)
+    raw = head.tobytes() + lens.tobytes() + np.array(minimizers, "<u8").tobytes() + o[:, 0].astype("<i4").tobytes() + o[:, 1].astype("<i4").tobytes() + ids[o[:, 1]].astype("<i8").tobytes() + o[:, 2].tobytes() + b"".join(parts)
     return len(raw).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(raw)
 
 
@@ -226,7 +228,7 @@ def _unpacked(value: bytes):
     raw = zstandard.ZstdDecompressor().decompress(value[8:], max_output_size=max(1, int.from_bytes(value[:8], "little")))
     n, m = np.frombuffer(raw, "<i8", 2)
     at, out = 16, []
-    for kind, size, k in (("<i4", 4, n), ("<i4", 4, m), ("<i4", 4, m), ("<i8", 8, m), ("<i8", 8, m)):
+    for kind, size, k in (("<i4", 4, n), ("<u8", 8, n), ("<i4", 4, m), ("<i4", 4, m), ("<i8", 8, m), ("<i8", 8, m)):
         out.append(np.frombuffer(raw, kind, k, at))
         at += size * int(k)
     return (*out, raw[at:])
@@ -252,14 +254,15 @@ def _strings_of(ranges: int):
                 p = np.searchsorted(bounds, low[keep], "right")
                 order = np.argsort(p, kind="stable")
                 parts: dict[bytes, int] = {}
+                minimizers: list[int] = []  # of the parts
                 occurrences: list[tuple[int, int, int]] = []
                 spread: dict[int, tuple[dict, list]] = defaultdict(lambda: ({}, []))
                 data, starts, now, out = b.data, b.starts, -1, []
                 for k, q in zip(keep[order].tolist(), p[order].tolist(), strict=True):
                     if q != now:
                         if parts:
-                            out.append((now, b.number, _packed(parts, occurrences, b.ids)))
-                        parts, occurrences, now = {}, [], q
+                            out.append((now, b.number, _packed(parts, minimizers, occurrences, b.ids)))
+                        parts, minimizers, occurrences, now = {}, [], [], q
                     s, e, d = int(first[k]), int(last[k]) + WINDOW, int(doc[k])
                     if hot[at[k]]:
                         for w in range(s, e - WINDOW + 1):
@@ -267,10 +270,14 @@ def _strings_of(ranges: int):
                             held, where = spread[ranges + zlib.crc32(one) % ranges]
                             where.append((held.setdefault(one, len(held)), d, w - int(starts[d])))
                     else:
-                        occurrences.append((parts.setdefault(data[s:e], len(parts)), d, s - int(starts[d])))
+                        one = parts.setdefault(data[s:e], len(parts))
+                        if one == len(minimizers):
+                            minimizers.append(int(low[k]))
+                        occurrences.append((one, d, s - int(starts[d])))
                 if parts:
-                    out.append((now, b.number, _packed(parts, occurrences, b.ids)))
-                out += [(q, b.number, _packed(held, where, b.ids)) for q, (held, where) in spread.items()]
+                    out.append((now, b.number, _packed(parts, minimizers, occurrences, b.ids)))
+                # a window by itself is compared with equal windows only, so its hash takes the minimizer's part
+                out += [(q, b.number, _packed(held, [xxhash.xxh3_64_intdigest(w) for w in held], where, b.ids)) for q, (held, where) in spread.items()]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["p", "block", "strings"])
 
@@ -340,7 +347,8 @@ def merge_repeats(shards: list[tuple[np.ndarray, np.ndarray]], depth: int) -> tu
     order up to one symbol more; intervals that hold one row have no further use and leave.
     """
     base = np.cumsum([0, *(len(s[0]) for s in shards)])
-    symbols = np.concatenate([s[0] for s in shards]).astype(np.uint16)
+    symbols = np.concatenate([s[0] for s in shards])
+    symbols = symbols.astype(np.uint8 if symbols.max(initial=0) < 256 else np.uint16)  # UTF-8 has no byte 255
     to = np.concatenate([s[1].astype(np.int32) + np.int32(b) for s, b in zip(shards, base, strict=False)])
     rows, interval = np.arange(base[-1], dtype=np.int32), np.zeros(base[-1], np.int32)
     for _ in range(depth):
@@ -362,8 +370,8 @@ def merge_repeats(shards: list[tuple[np.ndarray, np.ndarray]], depth: int) -> tu
     return rows, np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]])) if len(rows) else np.zeros(0, np.int64)
 
 
-def least_ids(contents: list[bytes], ids: np.ndarray, shard_bytes: int = SHARD_BYTES) -> tuple[np.ndarray, np.ndarray]:
-    """Per byte of the strings laid end to end the least id of a string that holds the window starting there, and string starts.
+def least_ids(contents: list[bytes], ids: np.ndarray, shard_bytes: int = SHARD_BYTES) -> np.ndarray:
+    """Per byte of the strings laid end to end the least id of a string that holds the window starting there.
 
     Windows reach no further than their string; for other places the value is the string's own id.
     """
@@ -384,7 +392,7 @@ def least_ids(contents: list[bytes], ids: np.ndarray, shard_bytes: int = SHARD_B
         at = np.concatenate(places)[rows]
         low = np.minimum.reduceat(least[at], heads)
         least[at] = np.repeat(low, np.diff([*heads, len(rows)]))
-    return least, starts
+    return least
 
 
 def _removed(shard_bytes: int):
@@ -392,17 +400,19 @@ def _removed(shard_bytes: int):
         for _, rows in _by_range(batches):
             index: dict[bytes, int] = {}
             least: list[int] = []
+            minimizers: list[int] = []
             occurrences = []  # (block, string, document row, id, place)
             for r in rows:
-                lens, which, doc, ids, place, raw = _unpacked(r["strings"])
+                lens, values, which, doc, ids, place, raw = _unpacked(r["strings"])
                 own = np.empty(len(lens), np.int64)
                 at = 0
-                for k, size in enumerate(lens.tolist()):
+                for k, (size, value) in enumerate(zip(lens.tolist(), values.tolist(), strict=True)):
                     s = raw[at : at + size]
                     at += size
                     own[k] = n = index.setdefault(s, len(index))
                     if n == len(least):
                         least.append(LAST)
+                        minimizers.append(value)
                 string = own[which]
                 low = np.full(len(lens), LAST)
                 np.minimum.at(low, which, ids)
@@ -410,9 +420,15 @@ def _removed(shard_bytes: int):
                     if v < least[k]:
                         least[k] = v
                 occurrences.append((r["block"], string, doc, ids, place))
-            contents = list(index)
-            by_place, starts = least_ids(contents, np.array(least, np.int64), shard_bytes)
+            contents, own_least = list(index), np.array(least, np.int64)
             lens = np.array([len(c) for c in contents], np.int64)
+            starts = np.cumsum(lens) - lens
+            by_place = np.repeat(own_least, lens)
+            _, which, times = np.unique(np.array(minimizers, np.uint64), return_inverse=True, return_counts=True)
+            several = np.flatnonzero(times[which] > 1)
+            if len(several):
+                there = np.repeat(starts[several] - (np.cumsum(lens[several]) - lens[several]), lens[several]) + np.arange(int(lens[several].sum()))
+                by_place[there] = least_ids([contents[k] for k in several.tolist()], own_least[several], shard_bytes)
             out = []
             for block, string, doc, ids, place in occurrences:
                 n = lens[string] - WINDOW + 1  # windows of each occurrence
