@@ -7,9 +7,10 @@ another place of it; classes that agree on the first DEPTH values of an order me
 1. Neighbours in a few of the orders (those with the longest common prefix) are candidates; they connect most groups of copies
    with about one pair a class.
 2. Within every region of every order, classes that step 1 left in different components are compared. A region with
-   more than REGION rows is taken one value deeper, until it is small; this is where depth adapts. Pairs whose
-   signatures agree on less than a share of SURE values (over five standard errors under the threshold) are
-   dropped, the others are candidates.
+   more than REGION rows is taken one value deeper, until it is small; this is where depth adapts. All members are
+   compared there by SHORT-bit hashes of their full sets. Of the pairs that surely link two components one is a
+   candidate and joins them; pairs so near the threshold that hashes could mislead are candidates all. So a group of
+   copies gives about one candidate a class, not all its pairs.
 
 Candidates are confirmed on full sets, 100 * intersection >= 75 * union, and components are formed over confirmed
 links only. Two sets with a similarity of 0.75 miss each other in all 32 orders with a probability of 5e-6.
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +40,9 @@ K, TREES, DEPTH = 128, 32, 4
 STRIDE = K // TREES
 LINKED_ORDERS = (0, 11, 21)
 REGION = 1024
-SURE = 0.55
+SHORT = 22
+#: Hashes of SHORT bits may collide; counts from them are trusted up to this many members and this share of the union.
+SLACK, SLACK_SHARE = 4, 0.015
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _A = np.random.default_rng(20240229).integers(1, 1 << 32, K, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -161,52 +165,90 @@ def _deeper(depth: int):
             for t in np.unique(tree):
                 rows = tree == t
                 keys[rows] = _key(_order(sig[rows], int(t))[:, :depth], int(t))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), *(b.column(c) for c in ("tree", "id", "component", "sig"))], ["key", "tree", "id", "component", "sig"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), *(b.column(c) for c in ("tree", "id", "component"))], ["key", "tree", "id", "component"])
 
     return run
 
 
+def short_set(shingles: np.ndarray) -> bytes:
+    """The set by SHORT-bit hashes: differences of the sorted distinct ones, byte by byte, compressed."""
+    v = np.unique(shingles >> np.uint64(64 - SHORT))
+    gaps = np.diff(v, prepend=np.uint64(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(gaps).tobytes())
+
+
+def long_set(short: bytes) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(short)
+    gaps = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
+    return np.cumsum(gaps, dtype=np.int64)
+
+
+def linking(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Candidates between different components of a region.
+
+    Members outside the largest component are compared with all; a sure link joins components at once.
+    """
+    n, sizes = len(ids), np.array([len(s) for s in sets])
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(n), sizes)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    head = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    ends = np.append(head[1:], len(values))
+    known = values[head]
+    names, code = np.unique(comps, return_inverse=True)
+    code = code.copy()
+    largest = np.bincount(code).argmax()
+    out = []
+    for i in np.flatnonzero(code != largest).tolist():
+        if (code == code[i]).all():
+            break
+        at = np.searchsorted(known, sets[i])
+        many = ends[at] - head[at] > 1
+        a, size = head[at[many]], (ends[at] - head[at])[many]
+        if not len(a):
+            continue
+        flat = np.repeat(a - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        both = np.bincount(owner[flat], minlength=n)
+        union = sizes + sizes[i] - both
+        slack = SLACK + SLACK_SHARE * union
+        near = (both + slack >= 0.75 * (union - slack)) & (code != code[i])
+        sure = near & (both - slack >= 0.75 * (union + slack))
+        for j in np.flatnonzero(sure)[np.argsort(-both[sure] / union[sure], kind="stable")].tolist():
+            if code[j] != code[i]:
+                out.append((int(ids[i]), int(ids[j])))
+                code[code == code[j]] = code[i]
+        for j in np.flatnonzero(near & ~sure).tolist():
+            if code[j] != code[i]:
+                out.append((int(ids[i]), int(ids[j])))
+    return out
+
+
 def _within(most: int):
-    """Candidates between different components of a region, for rows sorted by key.
+    """linking() over rows sorted by key.
 
     A region that no depth could make small (over `most` rows alike in all values tried) is compared in stretches, each
     with the one before, so that memory stays bounded.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, before = None, [], None
-
-        def pairs(rows, old):
-            ids, comps = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-            sig = np.frombuffer(b"".join(r[2] for r in rows), np.uint32).reshape(-1, K)
-            got_a, got_b = [], []
-            for x, y, same in [((ids, comps, sig), (ids, comps, sig), True)] + ([((ids, comps, sig), old, False)] if old else []):
-                for i in range(len(x[0])):
-                    from_ = i + 1 if same else 0
-                    other = np.flatnonzero(y[1][from_:] != x[1][i]) + from_
-                    if len(other):
-                        alike = (y[2][other] == x[2][i]).mean(axis=1) >= SURE
-                        other = other[alike]
-                        got_a.append(np.maximum(y[0][other], x[0][i]))
-                        got_b.append(np.minimum(y[0][other], x[0][i]))
-            empty = np.zeros(0, np.int64)
-            a, b = (np.concatenate(g) if g else empty for g in (got_a, got_b))
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]), (ids, comps, sig)
+        key, held, before = None, [], []
+
+        def pairs(rows: list[tuple]) -> pa.RecordBatch:
+            found = linking(np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), [long_set(r[2]) for r in rows])
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
-            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "component", "sig")), strict=True):
+            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "component", "short")), strict=True):
                 if k != key or len(held) >= most:
-                    if len(held) > 1 or (held and before):
-                        out, now = pairs(held, before)
-                        yield out
-                        before = now if k == key else None
-                    elif k != key:
-                        before = None
+                    if len(held) + len(before) > 1:
+                        yield pairs(before + held)
+                    before = held if k == key else []
                     held = []
                 key = k
                 held.append(row)
-        if len(held) > 1 or (held and before):
-            yield pairs(held, before)[0]
+        if len(held) + len(before) > 1:
+            yield pairs(before + held)
 
     return run
 
@@ -214,7 +256,8 @@ def _within(most: int):
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = _WordHashes()
     for b in blocks(batches):
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, hashes).tobytes() for t in strings(b.column(1))], pa.binary())], ["id", "shingles"])
+        found = [shingle_set(t, hashes) for t in strings(b.column(1))]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in found], pa.binary()), pa.array([short_set(s) for s in found], pa.binary())], ["id", "shingles", "short"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,7 +301,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # texts are read a second time for the classes that met another one
     chosen = classes.select("id", "digest").join(met, "id", "left_semi")
     from_rows = texts.join(chosen.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = cut(from_rows.mapInArrow(_sets, "id long, shingles binary"))
+    sets = cut(from_rows.mapInArrow(_sets, "id long, shingles binary, short binary"))
 
     places = sigs.mapInArrow(_sort_keys, "place binary, id long")
     first = places.repartitionByRange("place", "id").sortWithinPartitions("place", "id").mapInArrow(_neighbours, "a long, b long")
@@ -268,20 +311,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     at = meeting.join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "tree", "id", F.coalesce("component", "id").alias("component"))
     depth, parts = DEPTH, []
-    left = cut(_split_regions(at).join(sigs, "id"))
+    left = cut(_split_regions(at))
     while True:
-        sizes = left.groupBy("key").agg(F.count("*").alias("n"))
-        large = sizes.where(F.col("n") > REGION).select("key")
+        large = left.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > REGION).select("key")
         if depth >= K // 2 or not large.limit(1).count():
             parts.append(left)
             break
         parts.append(left.join(large, "key", "left_anti"))
         depth += 1
-        deeper = left.join(large, "key", "left_semi").select("key", "tree", "id", "component", "sig").mapInArrow(_deeper(depth), "key long, tree int, id long, component long, sig binary")
+        deeper = left.join(large, "key", "left_semi").join(sigs, "id").select("key", "tree", "id", "component", "sig").mapInArrow(_deeper(depth), "key long, tree int, id long, component long")
         left = cut(_split_regions(deeper))
     more = None
     for p in parts:
-        found = p.select("key", "id", "component", "sig").repartition("key").sortWithinPartitions("key", "sig", "id").mapInArrow(_within(4 * REGION), "a long, b long")
+        rows = p.select("key", "id", "component").join(sets.select("id", "short"), "id")
+        found = rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_within(4 * REGION), "a long, b long")
         more = found if more is None else more.union(found)
     links2 = confirmed(more, sets)
     comps = components(links.union(exact).union(links2))
