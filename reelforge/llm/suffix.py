@@ -80,6 +80,12 @@ def _to_blocks(size: int):
     return run
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of a batch one by one, for rows of a few MB each."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 class Block:
     """Texts of a block and, made when asked for, its runs of windows with one minimizer."""
 
@@ -167,12 +173,13 @@ def _sketch(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = _bounds(ranges)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 b = Block(row)
                 low, _, _, doc = b.runs()
                 values, several = _distinct(low, b.ids[doc])
                 cuts = [0, *np.searchsorted(values, bounds).tolist(), len(values)]
-                rows = [(p, b.number, values[a:z].astype("<u8").tobytes(), np.packbits(several[a:z]).tobytes()) for p, (a, z) in enumerate(zip(cuts, cuts[1:], strict=False)) if z > a]
+                # within a range the low half of a hash is enough: what it confuses is only compared in vain
+                rows = [(p, b.number, values[a:z].astype("<u4").tobytes(), np.packbits(several[a:z]).tobytes()) for p, (a, z) in enumerate(zip(cuts, cuts[1:], strict=False)) if z > a]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["p", "block", "values", "several"])
 
@@ -183,7 +190,7 @@ def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dic
     """Rows of each p; the input is sorted by p."""
     p, held = None, []
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             if row["p"] != p and held:
                 yield p, held
                 held = []
@@ -196,7 +203,7 @@ def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dic
 def _shared(hot_blocks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p, rows in _by_range(batches):
-            values = [np.frombuffer(r["values"], "<u8") for r in rows]
+            values = [np.frombuffer(r["values"], "<u4") for r in rows]
             several = [np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(v)).astype(bool) for r, v in zip(rows, values, strict=True)]
             found, counts = np.unique(np.concatenate(values), return_counts=True)
             shared = counts > 1
@@ -217,28 +224,36 @@ def _shared(hot_blocks: int):
 
 def _packed(parts: dict[bytes, int], minimizers: list[int], occurrences: list[tuple[int, int, int]], ids: np.ndarray) -> bytes:
     """Strings with minimizers and their occurrences (string, document row, place in the document) as one compressed value."""
-    o = np.array(occurrences, "<i8").reshape(-1, 3)
-    lens = np.array([len(s) for s in parts], "<i4")
-    head = np.array([len(lens), len(o)], "<i8")
-    raw = head.tobytes() + lens.tobytes() + np.array(minimizers, "<u8").tobytes() + o[:, 0].astype("<i4").tobytes() + o[:, 1].astype("<i4").tobytes() + ids[o[:, 1]].astype("<i8").tobytes() + o[:, 2].tobytes() + b"".join(parts)
-    return len(raw).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(raw)
+    o = np.array(occurrences, np.int64).reshape(-1, 3)
+    doc_rows, doc = np.unique(o[:, 1], return_inverse=True)
+    lens = np.array([len(s) for s in parts], "<u4")
+    head = np.array([len(lens), len(o), len(doc_rows)], "<i8")
+    raw = b"".join([
+        head.tobytes(), lens.tobytes(), (np.array(minimizers, np.uint64) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), doc_rows.astype("<u4").tobytes(), ids[doc_rows].astype("<i8").tobytes(),
+        np.diff(o[:, 0], prepend=0).astype("<i4").tobytes(), np.diff(doc, prepend=0).astype("<i4").tobytes(), o[:, 2].astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), *parts,
+    ])
+    return len(raw).to_bytes(8, "little") + zstandard.ZstdCompressor(level=3).compress(raw)
 
 
 def _unpacked(value: bytes):
+    """(lengths, minimizers, strings of occurrences, their document rows, ids and places, all strings)."""
     raw = zstandard.ZstdDecompressor().decompress(value[8:], max_output_size=max(1, int.from_bytes(value[:8], "little")))
-    n, m = np.frombuffer(raw, "<i8", 2)
-    at, out = 16, []
-    for kind, size, k in (("<i4", 4, n), ("<u8", 8, n), ("<i4", 4, m), ("<i4", 4, m), ("<i8", 8, m), ("<i8", 8, m)):
+    n, m, d = (int(k) for k in np.frombuffer(raw, "<i8", 3))
+    at, out = 24, []
+    for kind, k in (("<u4", n), ("<u4", n), ("<u4", d), ("<i8", d), ("<i4", m), ("<i4", m)):
         out.append(np.frombuffer(raw, kind, k, at))
-        at += size * int(k)
-    return (*out, raw[at:])
+        at += out[-1].nbytes
+    lens, minimizers, rows, ids, which, doc = out
+    place = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * m, at).reshape(8, m).T).view("<i8")[:, 0]
+    doc = np.cumsum(doc)
+    return lens.astype(np.int64), minimizers, np.cumsum(which), rows[doc].astype(np.int64), ids[doc], place, raw[at + 8 * m :]
 
 
 def _strings_of(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = _bounds(ranges)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 b = Block(row)
                 low, first, last, doc = b.runs()
                 values, _ = _distinct(low, b.ids[doc])
@@ -424,7 +439,7 @@ def _removed(shard_bytes: int):
             lens = np.array([len(c) for c in contents], np.int64)
             starts = np.cumsum(lens) - lens
             by_place = np.repeat(own_least, lens)
-            _, which, times = np.unique(np.array(minimizers, np.uint64), return_inverse=True, return_counts=True)
+            _, which, times = np.unique(np.array(minimizers, np.int64), return_inverse=True, return_counts=True)
             several = np.flatnonzero(times[which] > 1)
             if len(several):
                 there = np.repeat(starts[several] - (np.cumsum(lens[several]) - lens[several]), lens[several]) + np.arange(int(lens[several].sum()))
@@ -455,7 +470,7 @@ def _removed(shard_bytes: int):
 def _results(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 b = Block(row)
                 gone = np.zeros(len(b.data) + 1, np.int32)
                 for part in row["parts"] or []:
@@ -477,10 +492,24 @@ def _results(with_text: bool):
     return run
 
 
+def _dealt(df: DataFrame, key: str) -> DataFrame:
+    """Deals rows by key once and keeps them so, cut from their lineage: later joins on the key leave them where they are.
+
+    Only a plan that is fixed beforehand tells later ones how its rows are dealt, so this one is not adaptive.
+    """
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    try:
+        conf.set("spark.sql.adaptive.enabled", "false")
+        return cut(df.repartition(int(conf.get("spark.sql.shuffle.partitions")), key))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def dedup(docs: DataFrame, with_text: bool = False, block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES, shard_bytes: int = SHARD_BYTES, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
     """Per row of documents: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes if with_text."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    block_rows = cut(texts.mapInArrow(_to_blocks(block_bytes), _BLOCK_SCHEMA))
+    block_rows = _dealt(texts.mapInArrow(_to_blocks(block_bytes), _BLOCK_SCHEMA), "block")
     total = block_rows.agg(F.sum("n_bytes").alias("n")).first()["n"] or 0
     ranges = max(1, -(-int(total) // range_bytes))
     sketches = block_rows.mapInArrow(_sketch(ranges), "p long, block long, values binary, several binary")
