@@ -1,21 +1,14 @@
-"""Catalogue of queries with their DuckDB counterparts."""
+"""All queries of the library."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from reelforge.plans import queries_arrays, queries_lineage, queries_scalars, queries_sequences  # noqa: F401
+from reelforge.plans.registry import QUERIES, SQL, Query
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-
-def doc_extract_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs.groupBy("lang").agg(F.count("*").alias("n_docs"))
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"doc_extract_summary": doc_extract_summary}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"doc_extract_summary": "SELECT lang, count(*) AS n_docs FROM documents GROUP BY lang"}
+    return dict(SQL)

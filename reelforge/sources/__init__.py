@@ -1 +1 @@
-
+"""Readers, listings and writers."""
