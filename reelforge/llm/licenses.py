@@ -62,9 +62,9 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "proprietary": ("All rights reserved.", "Unauthorized copying of this file, via any medium is strictly prohibited."),
 }
 
-CUES = re.compile(r"licen[sc]e|copyright|permission (?:is hereby|to use)|redistribut|all rights reserved|public domain|SPDX|creative commons|free software|merchantab|unauthorized copying", re.IGNORECASE | re.ASCII)
+CUES = re.compile(r"licen[sc]e|copyright|permission (?:is hereby|to use)|redistribut|all rights reserved|public domain|SPDX|public license|creative commons|free software|merchantab|unauthorized copying", re.IGNORECASE | re.ASCII)
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.\-/][A-Za-z0-9]+)*")
-_ENDS = re.compile(r"[.:;!?](?=\s)|\n")
+_ENDS = re.compile(r"[.:;!?](?=\s(?!\d))|\n")
 BLOCK_WORDS, OVERLAP = 240, 80
 LEAST_REDUCTION = 0.15
 LEAST_RATIO = 0.8

@@ -8,9 +8,9 @@ another place of it; classes that agree on the first DEPTH values of an order me
    with about one pair a class.
 2. Within every region of every order, classes that step 1 left in different components are compared. A region with
    more than REGION rows is taken one value deeper, until it is small; this is where depth adapts. All members are
-   compared there by SHORT-bit hashes of their full sets. Of the pairs that surely link two components one is a
-   candidate and joins them; pairs so near the threshold that hashes could mislead are candidates all. So a group of
-   copies gives about one candidate a class, not all its pairs.
+   compared there by SHORT-bit hashes of their full sets, which misjudge a pair only if two hashes collide and the
+   pair lies at the very threshold (2e-7 for sets of 600). A pair that links two components is a candidate and joins them
+   at once, so a group of copies gives about one candidate a class, not all its pairs.
 
 Candidates are confirmed on full sets, 100 * intersection >= 75 * union, and components are formed over confirmed
 links only. Two sets with a similarity of 0.75 miss each other in all 32 orders with a probability of 5e-6.
@@ -40,9 +40,7 @@ K, TREES, DEPTH = 128, 32, 4
 STRIDE = K // TREES
 LINKED_ORDERS = (0, 11, 21)
 REGION = 1024
-SHORT = 22
-#: Hashes of SHORT bits may collide; counts from them are trusted up to this many members and this share of the union.
-SLACK, SLACK_SHARE = 4, 0.015
+SHORT = 32
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _A = np.random.default_rng(20240229).integers(1, 1 << 32, K, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -186,7 +184,8 @@ def long_set(short: bytes) -> np.ndarray:
 def linking(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Candidates between different components of a region.
 
-    Members outside the largest component are compared with all; a sure link joins components at once.
+    Members outside the largest component are compared with all; a link joins components at once. Of several partners
+    in a component the one with the least id is taken, so that different regions tend to name the same pair.
     """
     n, sizes = len(ids), np.array([len(s) for s in sets])
     values = np.concatenate(sets)
@@ -196,8 +195,7 @@ def linking(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray]) -> list[
     head = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
     ends = np.append(head[1:], len(values))
     known = values[head]
-    names, code = np.unique(comps, return_inverse=True)
-    code = code.copy()
+    code = np.unique(comps, return_inverse=True)[1].copy()
     largest = np.bincount(code).argmax()
     out = []
     for i in np.flatnonzero(code != largest).tolist():
@@ -211,16 +209,11 @@ def linking(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray]) -> list[
         flat = np.repeat(a - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
         both = np.bincount(owner[flat], minlength=n)
         union = sizes + sizes[i] - both
-        slack = SLACK + SLACK_SHARE * union
-        near = (both + slack >= 0.75 * (union - slack)) & (code != code[i])
-        sure = near & (both - slack >= 0.75 * (union + slack))
-        for j in np.flatnonzero(sure)[np.argsort(-both[sure] / union[sure], kind="stable")].tolist():
+        hit = np.flatnonzero((100 * both >= 75 * union) & (code != code[i]))
+        for j in hit[np.argsort(ids[hit], kind="stable")].tolist():
             if code[j] != code[i]:
                 out.append((int(ids[i]), int(ids[j])))
                 code[code == code[j]] = code[i]
-        for j in np.flatnonzero(near & ~sure).tolist():
-            if code[j] != code[i]:
-                out.append((int(ids[i]), int(ids[j])))
     return out
 
 

@@ -63,7 +63,7 @@ def _gcd(a: int, b: int) -> int:
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: str = "mix") -> DataFrame:
     """Adds to each document size, source_size, target and copies (how often the mix takes it)."""
-    sized = docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    sized = docs.drop("source_size", "target", "copies", "_rate", "_source").withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
     return take(sized, source_rates(sized.select("source", "size"), weights), seed)
 
 
