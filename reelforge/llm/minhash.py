@@ -11,6 +11,9 @@ another place of it; classes that agree on the first DEPTH values of an order me
    compared there by SHORT-bit hashes of their full sets, which misjudge a pair only if two hashes collide and the
    pair lies at the very threshold (2e-7 for sets of 600). A pair that links two components is a candidate and joins them
    at once, so a group of copies gives about one candidate a class, not all its pairs.
+3. Depth separates sets that are similar only just. Where regions were large at the start and still hold several
+   components, the members outside the largest one are compared with all of the region, in blocks. So nothing that meets
+   in an order goes uncompared, however large its region.
 
 Candidates are confirmed on full sets, 100 * intersection >= 75 * union, and components are formed over confirmed
 links only. Two sets with a similarity of 0.75 miss each other in all 32 orders with a probability of 5e-6.
@@ -246,6 +249,23 @@ def _within(most: int):
     return run
 
 
+def _rest(rows: DataFrame, large: DataFrame) -> DataFrame:
+    """Rows (key, id, component, group) that let all of large regions be compared in groups of about REGION + REGION rows.
+
+    large holds key and n. Members are dealt to blocks and those outside the largest component to chunks as well; a group is one
+    block with one chunk.
+    """
+    per = rows.join(large, "key").groupBy("key", "component").agg(F.count("*").alias("c"), F.first("n").alias("n"))
+    most = per.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("giant"), F.max("c").alias("c"), F.first("n").alias("n"))
+    most = most.where("c < n").select("key", "giant", F.ceil(F.col("n") / REGION).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("c")) / REGION).cast("int").alias("chunks"))
+    x = rows.join(most, "key").withColumn("out", F.col("component") != F.col("giant")).withColumn("h", F.xxhash64("id"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1), F.sequence(F.lit(0), F.col("chunks") - 1)
+    members = x.withColumn("block", F.pmod("h", "blocks")).withColumn("chunk", F.explode(every[1]))
+    asking = x.where("out").withColumn("chunk", F.pmod("h", "chunks")).withColumn("block", F.explode(every[0]))
+    both = members.select("key", "id", "component", "block", "chunk").union(asking.select("key", "id", "component", "block", "chunk")).distinct()
+    return both.select(F.xxhash64("key", "block", "chunk").alias("key"), "id", "component")
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = _WordHashes()
     for b in blocks(batches):
@@ -304,7 +324,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     at = meeting.join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "tree", "id", F.coalesce("component", "id").alias("component"))
     depth, parts = DEPTH, []
-    left = cut(_split_regions(at))
+    left = start = cut(_split_regions(at))
     while True:
         large = left.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > REGION).select("key")
         if depth >= K // 2 or not large.limit(1).count():
@@ -316,11 +336,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         left = cut(_split_regions(deeper))
     more = None
     for p in parts:
-        rows = p.select("key", "id", "component").join(sets.select("id", "short"), "id")
-        found = rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_within(4 * REGION), "a long, b long")
+        found = _compared(p.select("key", "id", "component"), sets)
         more = found if more is None else more.union(found)
-    links2 = confirmed(more, sets)
-    comps = components(links.union(exact).union(links2))
+    all_links = links.union(exact).union(confirmed(more, sets))
+    comps = components(all_links)
+    if depth > DEPTH:
+        now = start.drop("component").join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+        rest = cut(_rest(now, start.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > REGION)))
+        if rest.limit(1).count():
+            comps = components(all_links.union(confirmed(_compared(rest, sets), sets)))
 
     per = classes.select("digest", "id").join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     out = signed.drop("sig").join(per, "digest", "left")
@@ -328,6 +352,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept"))
 
 
+def _compared(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Candidates within each key of rows(key, id, component)."""
+    full = rows.join(sets.select("id", "short"), "id")
+    return full.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_within(4 * REGION), "a long, b long")
+
+
 def _split_regions(rows: DataFrame) -> DataFrame:
     """Rows of regions that hold more than one component."""
     mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
