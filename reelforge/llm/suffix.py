@@ -441,9 +441,13 @@ def _removed(shard_bytes: int):
             by_place = np.repeat(own_least, lens)
             _, which, times = np.unique(np.array(minimizers, np.int64), return_inverse=True, return_counts=True)
             several = np.flatnonzero(times[which] > 1)
-            if len(several):
-                there = np.repeat(starts[several] - (np.cumsum(lens[several]) - lens[several]), lens[several]) + np.arange(int(lens[several].sum()))
-                by_place[there] = least_ids([contents[k] for k in several.tolist()], own_least[several], shard_bytes)
+            # different minimizers have nothing to tell each other: as many merges as keep each one small
+            merges = -(-int(lens[several].sum()) // (4 * shard_bytes))
+            for k in range(merges):
+                now = several[which[several] % merges == k]
+                if len(now):
+                    there = np.repeat((starts[now] - (np.cumsum(lens[now]) - lens[now])).astype(np.int32), lens[now]) + np.arange(int(lens[now].sum()), dtype=np.int32)
+                    by_place[there] = least_ids([contents[c] for c in now.tolist()], own_least[now], shard_bytes)
             out = []
             for block, string, doc, ids, place in occurrences:
                 n = lens[string] - WINDOW + 1  # windows of each occurrence
