@@ -116,7 +116,7 @@ def session_segments(spark, d):
 WITH b AS (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS brk FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts) AS seg FROM b),
 g AS (SELECT user_id, count(*) AS n, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_us FROM s GROUP BY user_id, seg)
-SELECT * FROM g WHERE last_us + 6 * 3600 * 1000000 <= (SELECT epoch_us(max(ts)) FROM events)""")
+SELECT * FROM g WHERE last_us + 6::BIGINT * 3600 * 1000000 <= (SELECT epoch_us(max(ts)) FROM events)""")
 def stream_segments(spark, d):
     """The same by a stream over files with an availableNow trigger: what the watermark has closed."""
     import uuid
