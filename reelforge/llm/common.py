@@ -54,6 +54,18 @@ def strings(column: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
 
 
+#: Most rows of a side that is broadcast: ids of 8 bytes, some tens of MB in memory.
+BROADCAST_ROWS = 2_000_000
+
+
+def small_or_dealt(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A narrow table (already cut), marked for a broadcast join if it is counted to hold at most `most` rows.
+
+    Beyond that it is left as it is, and the join deals out both sides.
+    """
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def crc_of_id(column):
     """crc32 of an id written as decimal text; null ids count as 0."""
     return F.coalesce(F.crc32(column.cast("string").cast("binary")), F.lit(0))

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelforge.llm.common import blocks, components, cut, strings
+from reelforge.llm.common import blocks, components, cut, small_or_dealt, strings
 
 WIDTH = 5
 K, TREES, DEPTH = 128, 32, 4
@@ -44,6 +44,7 @@ STRIDE = K // TREES
 LINKED_ORDERS = (0, 11, 21)
 REGION = 1024
 SHORT = 32
+FOREST_EDGES = 500_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _A = np.random.default_rng(20240229).integers(1, 1 << 32, K, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -287,6 +288,40 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(keep)), b.column("b").filter(pa.array(keep))], ["a", "b"])
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the edges of a task those that join two trees."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        top = x
+        while (up := parent.get(top, top)) != top:
+            top = up
+        while x != top:
+            parent[x], x = top, parent.get(x, top)
+        return top
+
+    for batch in batches:
+        keep = []
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            x, y = find(a), find(b)
+            if x != y:
+                parent[x] = y
+            keep.append(x != y)
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
+def confirmed_forest(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed links that connect what all links among pairs(a, b) connect; nearly all pairs are links.
+
+    Different regions name different pairs of the same components. A task of FOREST_EDGES edges keeps those that join two
+    trees, and only these are confirmed. Should one of them fail, all pairs are confirmed instead.
+    """
+    p = cut(pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    kept = cut(p.repartition(max(1, -(-p.count() // FOREST_EDGES))).mapInArrow(_forest, "a long, b long"))
+    links = confirmed(kept, sets)
+    return links if links.count() == kept.count() else confirmed(p, sets)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of pairs(a, b) whose full sets are similar enough."""
     p = pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -312,8 +347,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met = cut(meeting.select("id").distinct())
     sigs = cut(nodes.select("id", "sig").join(met, "id", "left_semi"))
     # texts are read a second time for the classes that met another one
-    chosen = classes.select("id", "digest").join(met, "id", "left_semi")
-    from_rows = texts.join(chosen.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    from_rows = texts.join(small_or_dealt(met.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi")
     sets = cut(from_rows.mapInArrow(_sets, "id long, shingles binary, short binary"))
 
     places = sigs.mapInArrow(_sort_keys, "place binary, id long")
@@ -338,13 +372,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     for p in parts:
         found = _compared(p.select("key", "id", "component"), sets)
         more = found if more is None else more.union(found)
-    all_links = links.union(exact).union(confirmed(more, sets))
+    all_links = links.union(exact).union(confirmed_forest(more, sets))
     comps = components(all_links)
     if depth > DEPTH:
         now = start.drop("component").join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
         rest = cut(_rest(now, start.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > REGION)))
         if rest.limit(1).count():
-            comps = components(all_links.union(confirmed(_compared(rest, sets), sets)))
+            comps = components(all_links.union(confirmed_forest(_compared(rest, sets), sets)))
 
     per = classes.select("digest", "id").join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     out = signed.drop("sig").join(per, "digest", "left")
@@ -368,5 +402,5 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """documents without the near copies: one row of each group stays, with all columns of documents."""
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
     found = near_duplicates(docs)
-    going = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.select(*cols).join(going, "doc_id", "left_anti")
+    going = cut(found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct())
+    return docs.select(*cols).join(small_or_dealt(going), "doc_id", "left_anti")

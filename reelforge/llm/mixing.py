@@ -16,9 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelforge.llm.common import WORD
+from reelforge.llm.common import WORD, cut, small_or_dealt
 
 WEIGHTS = (5, 2, 1)
+MOST_SOURCES = 100_000
 
 
 def source_rates(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share_num: int = 3, share_den: int = 2, most: int = 2) -> DataFrame:
@@ -68,8 +69,11 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: str = "mix") ->
 
 
 def take(sized: DataFrame, rates: DataFrame, seed: str = "mix") -> DataFrame:
-    """Joins rates to rows with a source and a size and draws copies; AQE broadcasts the rates if they are small."""
-    r = rates.select(F.col("source").alias("_source"), "source_size", "target")
+    """Joins rates to rows with a source and a size and draws copies.
+
+    Up to MOST_SOURCES rates are broadcast, so no source, however hot, is gathered; beyond that the join deals rows out by source.
+    """
+    r = small_or_dealt(cut(rates.select(F.col("source").alias("_source"), "source_size", "target")), MOST_SOURCES)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size").cast("double")).otherwise(F.lit(0.0))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary")), 1, 8), 16, 10).cast("long")
     whole = F.floor(F.col("_rate"))
