@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelforge.llm.common import cut
+
 FIT_ROWS = 20_000
 MOST_FEATURES = 4096
 LEAST_ROWS = 4
@@ -166,8 +168,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = FIT_ROWS,
         .select("doc_id", F.col("toxic").cast("int").alias("label")).distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
     )
-    # at most `rows` rows: the bound that lets this side be broadcast, so no text is shuffled
-    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "label")
+    # at most `rows` rows: the bound that lets this side be broadcast, so no text is shuffled; read from the table once
+    sample = cut(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "label"))
     total = sample.groupBy("label").count().collect()
     n = {int(r["label"]): int(r["count"]) for r in total}
     if not n.get(0) or not n.get(1):
