@@ -377,8 +377,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if depth > DEPTH:
         now = start.drop("component").join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
         rest = cut(_rest(now, start.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > REGION)))
-        if rest.limit(1).count():
-            comps = components(all_links.union(confirmed_forest(_compared(rest, sets), sets)))
+        if rest.limit(1).count() and (more := confirmed_forest(_compared(rest, sets), sets)).limit(1).count():
+            comps = components(all_links.union(more))
 
     per = classes.select("digest", "id").join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     out = signed.drop("sig").join(per, "digest", "left")

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from reelforge.llm import minhash
+from reelforge.llm import common, minhash
 from reelforge.llm.common import components
 from tests.llm.helpers import documents, words
 
@@ -70,7 +70,9 @@ def test_keep_first(spark):
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [500_000, 3])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "EDGES_A_TASK", few)
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1001), (1001, 1000), (7, 7), (None, 3), (2000, 5)] + [(5000, 5000 + i) for i in range(200)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
     assert got[300] == got[2000] == 0 and got[1001] == 1000 and got[5199] == 5000 and 1002 not in got and len(got) == 301 + 1 + 2 + 200
