@@ -24,8 +24,6 @@ text are not read.
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import hashlib
 import zlib
 from collections import defaultdict
@@ -42,7 +40,7 @@ from pyspark.sql import functions as F
 from reelforge.llm.common import blocks, cut, strings
 
 WINDOW, GRAM = 50, 24
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 2 << 20
 RANGE_BYTES = 4 << 20
 SHARD_BYTES = 1 << 18
 HOT_BLOCKS = 2000
@@ -82,12 +80,6 @@ def _to_blocks(size: int):
     return run
 
 
-def _hand_back_memory() -> None:
-    """Lets the C library return every freed array of over 1 MB at once; otherwise reused workers keep their largest state."""
-    with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
-
-
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
     """Rows of a batch one by one, for rows of a few MB each."""
     for i in range(batch.num_rows):
@@ -127,7 +119,11 @@ class Block:
         stop[-1] = True
         stop[:-1] = change[1:] | ~valid[1:]
         last = np.flatnonzero(stop & valid)
-        return low[first], first, last, np.searchsorted(self.starts, first, "right") - 1
+        # least values crowd near zero: mixed again they fill all ranges alike
+        least = low[first] * np.uint64(0xD6E8FEB86659FD93)
+        least ^= least >> np.uint64(32)
+        least *= np.uint64(0xD6E8FEB86659FD93)
+        return least, first, last, np.searchsorted(self.starts, first, "right") - 1
 
 
 def _grams(x: np.ndarray) -> np.ndarray:
@@ -179,7 +175,6 @@ def _distinct(low: np.ndarray, doc_ids: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _sketch(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _hand_back_memory()
         bounds = _bounds(ranges)
         for batch in batches:
             for row in _rows(batch):
@@ -211,7 +206,6 @@ def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dic
 
 def _shared(hot_blocks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _hand_back_memory()
         for p, rows in _by_range(batches):
             values = [np.frombuffer(r["values"], "<u4") for r in rows]
             several = [np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(v)).astype(bool) for r, v in zip(rows, values, strict=True)]
@@ -261,7 +255,6 @@ def _unpacked(value: bytes):
 
 def _strings_of(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _hand_back_memory()
         bounds = _bounds(ranges)
         for batch in batches:
             for row in _rows(batch):
@@ -423,7 +416,6 @@ def least_ids(contents: list[bytes], ids: np.ndarray, shard_bytes: int = SHARD_B
 
 def _removed(shard_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _hand_back_memory()
         for _, rows in _by_range(batches):
             index: dict[bytes, int] = {}
             least: list[int] = []
