@@ -40,11 +40,10 @@ def fps_inference(spark, d):
 
 
 _E = "e AS (SELECT event_id, user_id, event_type, value, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS f FROM events)"
-_W = Window.partitionBy("user_id").orderBy("ts", "event_id")
-
 
 def _frames(spark, d):
-    return table(spark, d, "events").select("event_id", "user_id", "event_type", "value", "ts", F.row_number().over(_W).cast("long").alias("f"))
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return table(spark, d, "events").select("event_id", "user_id", "event_type", "value", "ts", F.row_number().over(order).cast("long").alias("f"))
 
 
 @query(f"WITH {_E} SELECT user_id, event_id, f, coalesce(abs(value - lag(value) OVER w) > 60 OR greatest(value, lag(value) OVER w) / least(value, lag(value) OVER w) >= 8, false) AS cut FROM e WINDOW w AS (PARTITION BY user_id ORDER BY f)")

@@ -52,3 +52,12 @@ def test_entry(spark):
 
     assert e.entry(spark).count() == 4
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_import_needs_no_session():
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-500:]
