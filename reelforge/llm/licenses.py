@@ -1,9 +1,9 @@
 """License scans by conditional compression.
 
 Sentences with a cue word, and neighbours that touch them, form candidate blocks. Each block is compressed
-with zstandard alone and once per template, the template as raw dictionary; templates are ranked by how much
-the block shrinks. The best ones are then confirmed by exact wording: the block must hold a sentence of the template
-word for word ('exact'), or with a few words replaced, inserted or removed ('near', with the words that differ).
+with zstandard alone and once per template, the template as raw dictionary; templates are ranked by how many bytes
+the block shrinks. All are then confirmed by exact wording in this order, so a notice counts alike however long its block
+is: the block must hold a sentence of the template word for word ('exact'), or with a few words replaced, inserted or removed ('near', with the words that differ).
 
 Defined cases: a null or empty text has no block; blocks of very long texts are cut at BLOCK_WORDS words with
 an overlap, none is left out; equal scores go to the template named first; an empty table gives no row;
@@ -13,6 +13,7 @@ columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -66,7 +67,6 @@ CUES = re.compile(r"licen[sc]e|copyright|permission (?:is hereby|to use)|redistr
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.\-/][A-Za-z0-9]+)*")
 _ENDS = re.compile(r"[.:;!?](?=\s(?!\d))|\n")
 BLOCK_WORDS, OVERLAP = 240, 80
-LEAST_REDUCTION = 0.15
 LEAST_RATIO = 0.8
 #: A quoted run shorter than this is no evidence by itself.
 LEAST_WORDS = 3
@@ -111,6 +111,7 @@ class Templates:
 
         self.names = list(templates)
         self.sentences = {k: [_words(s) for s in v] for k, v in templates.items()}
+        self.counts = {k: [Counter(s) for s in v] for k, v in self.sentences.items()}
         self.plain = zstandard.ZstdCompressor(level=level, write_content_size=False)
         self.with_template = {}
         for k, v in templates.items():
@@ -118,7 +119,7 @@ class Templates:
             self.with_template[k] = zstandard.ZstdCompressor(level=level, dict_data=raw, write_content_size=False)
 
     def ranked(self, block: str) -> list[tuple[float, str]]:
-        """(share of the compressed size that the template saves, name), best first."""
+        """(share of the compressed size that the template saves, name) of every template, most bytes saved first."""
         data = block.encode()
         alone = len(self.plain.compress(data))
         return sorted(((1 - len(c.compress(data)) / alone, k) for k, c in self.with_template.items()), key=lambda x: (-x[0], self.names.index(x[1])))
@@ -126,9 +127,11 @@ class Templates:
     def wording(self, block: str, name: str) -> tuple[str, str, int] | None:
         """('exact' or 'near', the words that differ, words that agree) of the sentence that agrees best, or None."""
         words, best = _words(block), None
-        for sentence in self.sentences[name]:
+        held = Counter(words)
+        for sentence, counts in zip(self.sentences[name], self.counts[name], strict=True):
             n = len(sentence)
-            if n < LEAST_WORDS:
+            # no alignment agrees in more words than both hold
+            if n < LEAST_WORDS or sum(min(c, held[w]) for w, c in counts.items()) < LEAST_RATIO * n:
                 continue
             matcher = SequenceMatcher(None, sentence, words, autojunk=False)
             at = matcher.find_longest_match()
@@ -158,8 +161,6 @@ class Templates:
             block = text[a:b]
             best = None
             for saved, name in self.ranked(block):
-                if saved < LEAST_REDUCTION:
-                    break
                 w = self.wording(block, name)
                 if w and (best is None or (w[0] == "exact", w[2]) > best[0]):
                     best = ((w[0] == "exact", w[2]), (name, a, b, saved, w[0], w[1]))

@@ -28,6 +28,15 @@ def test_no_license_in_clean_text(spark):
     assert got[1]["n_blocks"] == 0 and got[3]["n_found"] == 0 and got[3]["n_blocks"] > 1 and got[4]["licenses"] == "proprietary"
 
 
+def test_short_notices_in_long_blocks():
+    rng, t = random.Random(4), licenses.Templates()
+    for around in (0, 60, 100, 230, 500):
+        prose = words(rng, around)
+        half = len(prose) // 2
+        for name, notice in (("Apache-2.0", "licensed under the Apache License, Version 2.0"), ("proprietary", "all rights reserved"), ("CC-BY-4.0", "licensed under CC BY 4.0")):
+            assert (name, "exact") in {(f[0], f[4]) for f in t.find(f"{prose[:half]} {notice} {prose[half:]}")}, (name, around)
+
+
 def water(sizes, weights=(5, 2, 1)):
     """Targets by sharing and resharing, step by step."""
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
