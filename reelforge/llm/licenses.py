@@ -3,7 +3,8 @@
 Sentences with a cue word, and neighbours that touch them, form candidate blocks. Each block is compressed
 with zstandard alone and once per template, the template as raw dictionary; templates are ranked by how many bytes
 the block shrinks. All are then confirmed by exact wording in this order, so a notice counts alike however long its block
-is: the block must hold a sentence of the template word for word ('exact'), or with a few words replaced, inserted or removed ('near', with the words that differ).
+is: the block must hold a sentence of the template word for word ('exact'), or with a few words replaced, inserted or removed ('near', with the words that differ). Every template with a place of its own
+in the block is reported.
 
 Defined cases: a null or empty text has no block; blocks of very long texts are cut at BLOCK_WORDS words with
 an overlap, none is left out; equal scores go to the template named first; an empty table gives no row;
@@ -65,6 +66,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 
 CUES = re.compile(r"licen[sc]e|copyright|permission (?:is hereby|to use)|redistribut|all rights reserved|public domain|SPDX|public license|creative commons|free software|merchantab|unauthorized copying", re.IGNORECASE | re.ASCII)
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.\-/][A-Za-z0-9]+)*")
+_MARKS = re.compile(r"[^\w\s]*")
 _ENDS = re.compile(r"[.:;!?](?=\s(?!\d))|\n")
 BLOCK_WORDS, OVERLAP = 240, 80
 LEAST_RATIO = 0.8
@@ -124,49 +126,76 @@ class Templates:
         alone = len(self.plain.compress(data))
         return sorted(((1 - len(c.compress(data)) / alone, k) for k, c in self.with_template.items()), key=lambda x: (-x[0], self.names.index(x[1])))
 
-    def wording(self, block: str, name: str) -> tuple[str, str, int] | None:
-        """('exact' or 'near', the words that differ, words that agree) of the sentence that agrees best, or None."""
-        words, best = _words(block), None
+    def wording(self, words: list[str], name: str) -> Iterator[tuple[bool, int, int, int, list[int], str]]:
+        """(exact, words that agree, first word, end, places of those words, words that differ) of each place that agrees."""
         held = Counter(words)
         for sentence, counts in zip(self.sentences[name], self.counts[name], strict=True):
             n = len(sentence)
             # no alignment agrees in more words than both hold
             if n < LEAST_WORDS or sum(min(c, held[w]) for w, c in counts.items()) < LEAST_RATIO * n:
                 continue
-            matcher = SequenceMatcher(None, sentence, words, autojunk=False)
-            at = matcher.find_longest_match()
-            if at.size == n:
-                found = ("exact", "", n)
-            elif at.size < LEAST_WORDS:
-                continue
-            else:  # align around the longest common run
-                a, b = max(0, at.b - at.a - 3), at.b - at.a + n + 3
-                ops = SequenceMatcher(None, sentence, words[a:b], autojunk=False).get_opcodes()
-                inner = ops[1:] if ops and ops[0][0] == "insert" else ops
-                inner = inner[:-1] if inner and inner[-1][0] == "insert" else inner
-                same = sum(i2 - i1 for op, i1, i2, _, _ in inner if op == "equal")
-                if same < LEAST_RATIO * n:
+            matcher, todo = SequenceMatcher(None, sentence, words, autojunk=False), [(0, len(words))]
+            while todo:  # align around the longest common run, then look on either side of it
+                lo, hi = todo.pop()
+                at = matcher.find_longest_match(0, n, lo, hi)
+                if at.size < LEAST_WORDS:
                     continue
-                diff = [f"-{' '.join(sentence[i1:i2])}+{' '.join(words[a:b][j1:j2])}" for op, i1, i2, j1, j2 in inner if op != "equal"]
-                found = ("near", "|".join(diff), same)
-            key = (found[0] == "exact", found[2])
-            if best is None or key > (best[0] == "exact", best[2]):
-                best = found
-        return best
+                first, end = at.b, at.b + at.size
+                if at.size == n:
+                    yield True, n, first, end, list(range(first, end)), ""
+                elif found := _aligned(sentence, words, max(lo, at.b - at.a - 3), min(hi, at.b - at.a + n + 3)):
+                    first, end = found[2:4]
+                    yield found
+                todo += [(lo, first), (end, hi)]
 
     def find(self, text: str) -> list[tuple[str, int, int, float, str, str]]:
-        """(license, start, end, share saved, 'exact' or 'near', differing words) per block that names one."""
+        """(license, start, end, share saved, 'exact' or 'near', differing words) of every license that a block names.
+
+        A place whose agreeing words lie inside a better one is none of its own. Of a license's places in a block the
+        best is given, from its first word to its last and the marks that touch it.
+        """
+        places = []
+        for k, (a, b) in enumerate(candidates(text)):
+            spots = [w.span() for w in _WORD.finditer(text, a, b)]
+            words = [text[x:y].lower() for x, y in spots]
+            for rank, (_, name) in enumerate(self.ranked(text[a:b])):
+                for exact, same, first, end, agree, diff in self.wording(words, name):
+                    places.append(((not exact, -same, k, rank), name, spots[first][0], spots[end - 1][1], [spots[i][0] for i in agree], diff))
+        held: dict[int, list[tuple[int, int]]] = {}
+        best: dict[tuple[int, str], tuple] = {}
+        for key, name, a, b, agree, diff in sorted(places, key=lambda x: x[0]):
+            k = key[2]
+            if any(x <= agree[0] and agree[-1] < y for i in (k - 1, k, k + 1) for x, y in held.get(i, ())):
+                continue
+            held.setdefault(k, []).append((a, b))
+            best.setdefault((k, name), (name, a, _MARKS.match(text, b).end(), key[0], diff))
         out = []
-        for a, b in candidates(text):
-            block = text[a:b]
-            best = None
-            for saved, name in self.ranked(block):
-                w = self.wording(block, name)
-                if w and (best is None or (w[0] == "exact", w[2]) > best[0]):
-                    best = ((w[0] == "exact", w[2]), (name, a, b, saved, w[0], w[1]))
-            if best:
-                out.append(best[1])
-        return out
+        for name, a, b, near, diff in best.values():
+            quote = text[a:b].encode()
+            saved = 1 - len(self.with_template[name].compress(quote)) / len(self.plain.compress(quote))
+            out.append((name, a, b, saved, "near" if near else "exact", diff))
+        return sorted(out, key=lambda f: (f[1], f[2], f[0]))
+
+
+def _aligned(sentence: list[str], words: list[str], lo: int, hi: int) -> tuple[bool, int, int, int, list[int], str] | None:
+    """The place of the sentence in words[lo:hi] if enough words agree."""
+    ops = [(op, i1, i2, lo + j1, lo + j2) for op, i1, i2, j1, j2 in SequenceMatcher(None, sentence, words[lo:hi], autojunk=False).get_opcodes()]
+    if ops[0][0] == "insert":
+        ops = ops[1:]
+    if ops[-1][0] == "insert":
+        ops = ops[:-1]
+    agree = [j for op, _, _, j1, j2 in ops if op == "equal" for j in range(j1, j2)]
+    if len(agree) < LEAST_RATIO * len(sentence):
+        return None
+    # words beyond as many as are replaced at either end are none of the sentence's
+    op, i1, i2, j1, j2 = ops[0]
+    if op == "replace":
+        ops[0] = op, i1, i2, max(j1, j2 - (i2 - i1)), j2
+    op, i1, i2, j1, j2 = ops[-1]
+    if op == "replace":
+        ops[-1] = op, i1, i2, j1, min(j2, j1 + (i2 - i1))
+    diff = [f"-{' '.join(sentence[i1:i2])}+{' '.join(words[j1:j2])}" for op, i1, i2, j1, j2 in ops if op != "equal"]
+    return False, len(agree), ops[0][3], ops[-1][4], agree, "|".join(diff)
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -37,6 +37,22 @@ def test_short_notices_in_long_blocks():
             assert (name, "exact") in {(f[0], f[4]) for f in t.find(f"{prose[:half]} {notice} {prose[half:]}")}, (name, around)
 
 
+def test_every_license_of_a_block_is_found():
+    t = licenses.Templates()
+    text = "Released under the MIT License. Licensed under the Apache License, Version 2.0."
+    assert [(f[0], text[f[1] : f[2]], f[4]) for f in t.find(text)] == [("MIT", text[:31], "exact"), ("Apache-2.0", text[32:], "exact")]
+    for names in (("GPL-2.0", "GPL-3.0"), ("MIT", "BSD-3-Clause", "ISC", "MPL-2.0"), ("CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0")):
+        text = " ".join(licenses.TEMPLATES[n][-1] for n in names)
+        found = t.find(text)
+        assert [f[0] for f in found] == list(names) and {f[4] for f in found} == {"exact"}, found
+    # the same words are not given to two templates
+    for name in ("GPL-2.0", "GPL-3.0", "CC-BY-4.0", "CC-BY-SA-4.0"):
+        for s in licenses.TEMPLATES[name]:
+            assert [f[0] for f in t.find(s)] == [name], s
+    assert [f[0] for f in t.find("Released under the Apache License, Version 2.0.")] == ["Apache-2.0"]
+    assert [f[0] for f in t.find("Released under the MIT Licence. All rights reserved.")] == ["MIT", "proprietary"]
+
+
 def water(sizes, weights=(5, 2, 1)):
     """Targets by sharing and resharing, step by step."""
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
