@@ -1,6 +1,7 @@
 """License scans by conditional compression.
 
-Sentences with a cue word, and neighbours that touch them, form candidate blocks. Each block is compressed
+Cue words with REACH words on either side, whatever marks, line breaks or comment signs stand between them, form
+candidate blocks; those that overlap or touch are one. Each block is compressed
 with zstandard alone and once per template, the template as raw dictionary; templates are ranked by how many bytes
 the block shrinks. All are then confirmed by exact wording in this order, so a notice counts alike however long its block
 is: the block must hold a sentence of the template word for word ('exact'), or with a few words replaced, inserted or removed ('near', with the words that differ). Every template with a place of its own
@@ -14,6 +15,8 @@ columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -67,38 +70,35 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 CUES = re.compile(r"licen[sc]e|copyright|permission (?:is hereby|to use)|redistribut|all rights reserved|public domain|SPDX|public license|creative commons|free software|merchantab|unauthorized copying", re.IGNORECASE | re.ASCII)
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.\-/][A-Za-z0-9]+)*")
 _MARKS = re.compile(r"[^\w\s]*")
-_ENDS = re.compile(r"[.:;!?](?=\s(?!\d))|\n")
 BLOCK_WORDS, OVERLAP = 240, 80
+#: The longest template sentence is shorter, so one with a cue lies in the block wholly.
+REACH = 80
 LEAST_RATIO = 0.8
 #: A quoted run shorter than this is no evidence by itself.
 LEAST_WORDS = 3
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """(start, end) of blocks: runs of adjoining sentences with a cue, at most BLOCK_WORDS words each."""
-    out: list[list[int]] = []
-    cursor, size = 0, len(text)
-    for m in CUES.finditer(text):
-        if m.start() < cursor:
-            continue
-        # the sentence around the cue: back to the last end before it, on to the next
-        back = max((e.end() for e in _ENDS.finditer(text, max(cursor, m.start() - 600), m.start())), default=max(cursor, m.start() - 600))
-        end = _ENDS.search(text, m.end())
-        cursor = min(end.end() if end else size, m.end() + 4000)
-        if out and back - out[-1][1] <= 2:
-            out[-1][1] = cursor
+    """(start, end) of blocks: runs of words within REACH words of a cue, at most BLOCK_WORDS words each."""
+    cues = [m.span() for m in CUES.finditer(text)]
+    if not cues:
+        return []
+    starts, ends = array("q"), array("q")
+    for w in _WORD.finditer(text):
+        starts.append(w.start())
+        ends.append(w.end())
+    out: list[list[int]] = []  # first word and end of each block
+    for a, b in cues:
+        lo, hi = max(0, bisect_right(ends, a) - REACH), min(len(starts), bisect_left(starts, b) + REACH)
+        if out and lo <= out[-1][1]:
+            out[-1][1] = hi
         else:
-            out.append([back, cursor])
-    cut: list[tuple[int, int]] = []
-    for a, b in out:
-        words = [w.span() for w in _WORD.finditer(text, a, b)]
-        if len(words) <= BLOCK_WORDS:
-            cut.append((a, b))
-            continue
-        for k in range(0, max(1, len(words) - OVERLAP), BLOCK_WORDS - OVERLAP):
-            part = words[k : k + BLOCK_WORDS]
-            cut.append((part[0][0], part[-1][1]))
-    return cut
+            out.append([lo, hi])
+    return [
+        (starts[k], _MARKS.match(text, ends[min(k + BLOCK_WORDS, hi) - 1]).end())
+        for lo, hi in out
+        for k in range(lo, max(lo + 1, hi - OVERLAP), BLOCK_WORDS - OVERLAP)
+    ]
 
 
 def _words(text: str) -> list[str]:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import textwrap
 
 from reelforge.llm import licenses, mixing
 from tests.llm.helpers import documents, words
@@ -53,6 +54,21 @@ def test_every_license_of_a_block_is_found():
     assert [f[0] for f in t.find("Released under the MIT Licence. All rights reserved.")] == ["MIT", "proprietary"]
 
 
+def test_wrapped_license_texts():
+    """Every template sentence in lines of several widths, plain and as comments, between prose in the same paragraph."""
+    rng, t = random.Random(5), licenses.Templates()
+    assert max(len(s) for v in t.sentences.values() for s in v) <= licenses.REACH <= licenses.OVERLAP
+    for name in ("MIT", "BSD-3-Clause", "ISC", "Apache-2.0", "GPL-3.0"):
+        for s in licenses.TEMPLATES[name]:
+            if not licenses.CUES.search(s):
+                continue
+            for width in (40, 72, 80):
+                for sign, end in (("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("    // ", "\n")):
+                    lines = textwrap.wrap(f"{words(rng, 200)} {s} {words(rng, 200)}", width, break_on_hyphens=False, break_long_words=False)
+                    found = t.find("".join(f"{sign}{x}{end}" for x in lines))
+                    assert name in {f[0] for f in found if f[4] == "exact"}, (s, width, sign)
+
+
 def water(sizes, weights=(5, 2, 1)):
     """Targets by sharing and resharing, step by step."""
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
