@@ -2,9 +2,10 @@
 
 A value after a credential name is cut into words, dates, repeats, keyboard walks, sequences and brute-force
 characters; dynamic programming finds the cut of least cost in bits. Values that cost THRESHOLD_BITS or more are reported
-as kind 'guess', beside the spans of the fixed patterns (assign, access, hex), which are never changed.
+as kind 'guess', beside the spans of the fixed patterns (assign, access, hex), which are never changed; only a value that lies wholly in one of them gets no span of its own.
 
-Defined cases: a null or empty text has no span; every value is read whole, whatever its length; rows with
+Defined cases: a null or empty text has no span; every value is read whole, whatever its length: between quotes
+with all white space and marks (a quote that its line does not close ends at white space, unless tripled); rows with
 equal ids are rows of their own; an empty table gives no row; columns other than doc_id and text are not read.
 """
 
@@ -27,10 +28,15 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 # A maximal run is one match of the plain pattern, so the least length can stand in the pattern itself.
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
+# A value is what stands between quotes, or else runs up to white space; without an opening quote marks of lists and calls end it too.
 _CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|credentials?|auth[_-]?key|private[_-]?key|access[_-]?key)["']?\s{0,3}(?:[:=]|=>|:=)\s{0,3}["']?([^\s"'<>,;()]{6,})""",
+    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|credentials?|auth[_-]?key|private[_-]?key|access[_-]?key)["']?\s{0,3}(?:=>|:=|[:=])\s{0,3}(?:"""
+    r"""\"{3}([^"\\]*(?:(?:\\[\s\S]|"(?!""))[^"\\]*)*)\"{3}|'{3}([^'\\]*(?:(?:\\[\s\S]|'(?!''))[^'\\]*)*)'{3}|"""
+    r""""([^"\\\r\n]*(?:\\.[^"\\\r\n]*)*)"|'([^'\\\r\n]*(?:\\.[^'\\\r\n]*)*)'|"([^"\r\n]*)"|'([^'\r\n]*)'|"""
+    r""""([^\s"]+)|'([^\s']+)|([^\s"'<>,;()]{6,}))""",
     re.IGNORECASE | re.ASCII,
 )
+LEAST_VALUE = 6
 
 # Words that guessers try first, the likelier ones first.
 COMMON_WORDS = (
@@ -132,17 +138,17 @@ def spans(text: str, threshold: float = THRESHOLD_BITS) -> list[tuple[str, int,
     found = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 12]
     found += [("access", *m.span()) for m in _ACCESS.finditer(text)]
     found += [("hex", *m.span()) for m in _HEX.finditer(text)]
-    # spans of one kind are disjoint and sorted: of each kind the last before an end is the only one to meet it
+    # spans of one kind are disjoint and sorted: of each kind the last before an end is the only one that may cover it
     taken = [[(x, y) for k, x, y in found if k == kind] for kind in KINDS[:3]]
     words = None
     for m in _CONTEXT.finditer(text):
-        a, b = m.span(1)
-        if any((at := bisect_left(held, (b, 0))) and held[at - 1][1] > a for held in taken):
+        a, b = m.span(m.lastindex)
+        if b - a < LEAST_VALUE or any((at := bisect_left(held, (b, 0))) and held[at - 1][0] <= a and b <= held[at - 1][1] for held in taken):
             continue
         if words is None:
             words = frozenset(w for w in re.findall(r"[^\W\d_]{4,24}", text.lower()))
-        value = m[1].lower()
-        if guess_bits(m[1], words - {value}) >= threshold:
+        value = m[m.lastindex]
+        if guess_bits(value, words - {value.lower()}) >= threshold:
             found.append(("guess", a, b))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

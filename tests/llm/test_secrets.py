@@ -43,6 +43,23 @@ def test_added_spans_leave_base_alone():
     assert secrets.redacted("pwd: zJ8kq1Wp!x!") == "pwd: [SECRET]"
 
 
+def test_values_are_scored_whole():
+    """The whole value is one guess span, beside base spans of its parts, and nothing of it stays in the text."""
+    for value in ("Xy7(kd9,Qw!2pLz", "hV9#kLm2,Qz8!rT4", "a<b;Zq8 >tR(5!)v", "correct horse battery staple", "abcdefgh1234!K9#xQ", "zJ8k\\'1Wp\\\"!x,Q", "q;X9!vL 0123456789abcdef0123 &tR"):
+        for text in (f'password = "{value}", user', f"{{'secret': '{value}'}}", f'api_key:="{value}"', f'token => """{value}"""', f"pwd='''{value}'''"):
+            at = text.index(value)
+            assert ("guess", at, at + len(value)) in secrets.spans(text), text
+            left = secrets.redacted(text)
+            assert "[SECRET]" in left and not any(part in left for part in (value[:3], value[-3:])), (text, left)
+    text = "password=abcdefgh1234!K9#xQ"
+    assert secrets.spans(text) == [("assign", 0, 21), ("guess", 9, 27)] and secrets.redacted(text) == "[SECRET]"
+    assert secrets.redacted('password = "Xy7(kd9,Qw!2pLz and') == 'password = "[SECRET] and'
+    assert secrets.redacted('secret = "-Xy7(kd9,Qw!2pLz\\" + x') == 'secret = "[SECRET]" + x'
+    # a value that a base span covers wholly, and cheap ones, get no further span
+    assert secrets.spans('token = "24be64439e3e49cf46b2d7c90f3602a3"') == base_spans('token = "24be64439e3e49cf46b2d7c90f3602a3"')
+    assert not secrets.spans('password = "", secret = "your password", call(token=none,user=x)')
+
+
 def test_redaction(spark):
     docs = documents(spark, [(1, "key token=abcdefghijkl0123 end"), (2, None), (3, "clean")])
     got = {r["doc_id"]: r for r in secrets.redact(docs).collect()}
