@@ -67,7 +67,11 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "proprietary": ("All rights reserved.", "Unauthorized copying of this file, via any medium is strictly prohibited."),
 }
 
-CUES = re.compile(r"licen[sc]e|copyright|permission (?:is hereby|to use)|redistribut|all rights reserved|public domain|SPDX|public license|creative commons|free software|merchantab|unauthorized copying", re.IGNORECASE | re.ASCII)
+TAG = "spdx-license-identifier"
+_ALSO = {k: tuple(f"{k}{end}" for end in ("", "-only", "-or-later")) for k in ("GPL-3.0", "GPL-2.0", "LGPL-3.0")} | {"proprietary": ()}
+TEMPLATES = {k: (*(f"SPDX-License-Identifier: {x}" for x in _ALSO.get(k, (k,))), *v) for k, v in TEMPLATES.items()}
+
+CUES = re.compile(r"\bcc0\b|released under|licen[sc]e|copyright|permission (?:is hereby|to use)|redistribut|all rights reserved|public domain|SPDX|public license|creative commons|free software|merchantab|unauthorized copying", re.IGNORECASE | re.ASCII)
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.\-/][A-Za-z0-9]+)*")
 _MARKS = re.compile(r"[^\w\s]*")
 BLOCK_WORDS, OVERLAP = 240, 80
@@ -131,6 +135,11 @@ class Templates:
         held = Counter(words)
         for sentence, counts in zip(self.sentences[name], self.counts[name], strict=True):
             n = len(sentence)
+            if sentence[0] == TAG:
+                for first, at in _tagged(words):
+                    if words[at] == sentence[1]:
+                        yield True, at + 1 - first, first, at + 1, list(range(first, at + 1)), ""
+                continue
             # no alignment agrees in more words than both hold
             if n < LEAST_WORDS or sum(min(c, held[w]) for w, c in counts.items()) < LEAST_RATIO * n:
                 continue
@@ -177,6 +186,17 @@ class Templates:
         return sorted(out, key=lambda f: (f[1], f[2], f[0]))
 
 
+def _tagged(words: list[str]) -> Iterator[tuple[int, int]]:
+    """(first word to quote, place) of each identifier in the expressions after SPDX tags."""
+    for i, w in enumerate(words):
+        if w == TAG and i + 1 < len(words):
+            yield i, i + 1
+            for j in range(i + 3, len(words), 2):
+                if words[j - 1] not in ("or", "and", "with"):
+                    break
+                yield j, j
+
+
 def _aligned(sentence: list[str], words: list[str], lo: int, hi: int) -> tuple[bool, int, int, int, list[int], str] | None:
     """The place of the sentence in words[lo:hi] if enough words agree."""
     ops = [(op, i1, i2, lo + j1, lo + j2) for op, i1, i2, j1, j2 in SequenceMatcher(None, sentence, words[lo:hi], autojunk=False).get_opcodes()]

@@ -69,6 +69,20 @@ def test_wrapped_license_texts():
                     assert name in {f[0] for f in found if f[4] == "exact"}, (s, width, sign)
 
 
+def test_every_template_sentence_holds_a_cue():
+    rng, t = random.Random(6), licenses.Templates()
+    for name, sentences in licenses.TEMPLATES.items():
+        for s in sentences:
+            assert licenses.CUES.search(s) and (name, "exact") in {(f[0], f[4]) for f in t.find(f"{words(rng, 30)}.\n{s}\n{words(rng, 30)}.")}, s
+
+
+def test_spdx_lines():
+    t = licenses.Templates()
+    for line, names in (("MIT", ["MIT"]), ("GPL-3.0-or-later", ["GPL-3.0"]), ("(MIT OR Apache-2.0) AND CC0-1.0", ["MIT", "Apache-2.0", "CC0-1.0"]), ("X11", [])):
+        assert [f[0] for f in t.find(f"// SPDX-License-Identifier: {line}\nint main or MIT")] == names, line
+    assert licenses.candidates("hex 4cc0a1") == []
+
+
 def water(sizes, weights=(5, 2, 1)):
     """Targets by sharing and resharing, step by step."""
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
