@@ -9,7 +9,7 @@ another place of it; classes that agree on the first DEPTH values of an order me
 2. Within every region of every order, classes that step 1 left in different components are compared. A region with
    more than REGION rows is taken one value deeper, until it is small; this is where depth adapts. All members are
    compared there by SHORT-bit hashes of their full sets, which misjudge a pair only if two hashes collide and the
-   pair lies at the very threshold (2e-7 for sets of 600). A pair that links two components is a candidate and joins them
+   pair lies at the very threshold (3e-5 for sets of 600). A pair that links two components is a candidate and joins them
    at once, so a group of copies gives about one candidate a class, not all its pairs.
 3. Depth separates sets that are similar only just. Where regions were large at the start and still hold several
    components, the members outside the largest one are compared with all of the region, in blocks. So nothing that meets
