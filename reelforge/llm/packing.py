@@ -8,14 +8,17 @@ Tasks tokenize and pack what they read, without moving texts. The bins that are
 wasted: their pieces, a bounded number a task, are packed once more with those of other tasks, longest first.
 
 Defined cases: a null or empty text is one piece that holds the end id alone; texts longer than the capacity
-are cut, the first piece being the shorter one; repeated doc_ids are packed as rows of their own; a null doc_id
-stays null; an empty table gives no row; columns other than doc_id and text are never read.
+are cut whatever their length, the first piece being the shorter one; repeated rows and doc_ids are packed as rows of their
+own; of several bins with the same free space the one that came to it last is taken, and pieces of equal length are
+packed once more in the order of doc_id, piece and sequence; a null doc_id stays null; an empty table gives no row; columns other
+than doc_id and text are never read.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -32,48 +35,72 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 
 
 class Encoder:
-    """Byte-level BPE ids as little-endian unsigned 32-bit bytes.
+    """Ids of a byte-level BPE vocabulary (a JSON file of the tokenizers library) as little-endian unsigned 32-bit bytes.
 
-    A text is cut before each single space; such chunks never share a pretoken, so a memo of chunks serves
-    most of it. Texts with adjoining white space take the plain way. The merge ranks are those of the
-    vocabulary file at path; tests hold the ids against the tokenizers library over the same vocabulary.
+    A text is first cut at the added tokens of the file, which have one id wherever they stand. Byte-level BPE never joins
+    what stands on either side of a single space between two other characters, so the rest is cut there too, and a memo
+    of at most `most` chunks serves most of it. Chunks are encoded over the file's merge ranks by tiktoken, in less than half
+    of the library's time; tests hold the ids against the library with its default settings. A file with another kind of
+    pretokens or added tokens that strip white space is refused.
     """
 
     ODD = re.compile(r"[\s\x1c-\x1f\x85]{2}|[\s\x1c-\x1f\x85]\Z")
+    CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
 
     def __init__(self, path: str, most: int = 300_000):
-        import base64
+        import json
 
         import public_tokenizers
         import tiktoken
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        added, before = file["added_tokens"], file["pre_tokenizer"] or {}
+        if file["normalizer"] or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
+            raise ValueError(f"{path}: not a plain byte-level vocabulary")
+        self._added = {t["content"]: int(t["id"]).to_bytes(4, "little") for t in added}
+        self._at_added = re.compile("(" + "|".join(re.escape(t) for t in sorted(self._added, key=len, reverse=True)) + ")") if added else None
+        byte = {c: b for b, c in enumerate(byte_names())}
+        ranks = {bytes(map(byte.__getitem__, token)): rank for token, rank in file["model"]["vocab"].items() if token not in self._added}
         self._bpe = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         plain = self.plain
 
         class Memo(dict):
+            before = ""
+
             def __missing__(self, part: str) -> bytes:
-                ids = plain(" " + part)
+                ids = plain(self.before + part)
                 if len(part) <= 64:
                     if len(self) >= most:
                         self.clear()
                     self[part] = ids
                 return ids
 
-        self._get = Memo().__getitem__
+        class Spaced(Memo):
+            before = " "
+
+        self._head, self._rest = Memo().__getitem__, Spaced().__getitem__
 
     def plain(self, text: str) -> bytes:
-        ids = self._bpe.encode_ordinary(text)
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+        return array("I", self._bpe.encode_ordinary(text)).tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if self._at_added is None or not any(map(text.__contains__, self._added)):
+            return self._chunks(text)
+        return b"".join([self._added.get(part) or self._chunks(part) for part in self._at_added.split(text)])
+
+    def _chunks(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.ODD.search(text):
-            return self.plain(text)
-        head, *rest = text.split(" ")
-        return (self.plain(head) if head else b"") + b"".join(map(self._get, rest))
+        head, *rest = self.CUT.split(text) if self.ODD.search(text) else text.split(" ")
+        return (self._head(head) if head else b"") + b"".join(map(self._rest, rest))
+
+
+def byte_names() -> list[str]:
+    """The character that byte-level vocabularies write for each byte: itself if it prints, else the next one from 256 on."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b if b in prints else next(others)) for b in range(256)]
 
 
 class OpenBins:

@@ -22,7 +22,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     def encoder():
         import public_tokenizers
 
-        return packing.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+        return packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
 
     return packing.pack(table(spark, sf_dir, "documents"), encoder)
 

@@ -15,7 +15,7 @@ EMPTY = hashlib.sha256(b"").hexdigest()
 def encoder():
     import public_tokenizers
 
-    return packing.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def labels(spark, rows=()):

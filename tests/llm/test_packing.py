@@ -1,35 +1,48 @@
+import os
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
 from tokenizers import Tokenizer
 
 from reelforge.llm import packing
 from tests.llm.helpers import documents, words
 
+SF = "/root/testdata/sf0.01"
 TEXTS = ["", " ", "a", " a", "a ", "a  b", "a\n b", "it's 12 o'clock, isn't it?", "x\t\ty", "é ü z", "<|endoftext|> here", "日本語 テキスト", "a" * 3000, "line\nline\r\nline", "\x1c a\x85b", "end\n", "don't  stop\n\n\nnow "]
 
 
 def encoder():
-    return packing.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def reference():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_ids_are_those_of_the_tokenizer():
     rng, enc, ref = random.Random(2), encoder(), reference()
-    alphabet = "ab é\n\t '12.,  s"
-    texts = TEXTS + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(500)] + [words(rng, 200)]
+    alphabet = [*"ab é\n\t '12.,  s\xa0", "\x1c", "\x85", "<|endoftext|>", "<|", "|>", "日"]
+    texts = TEXTS + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(3000)] + [words(rng, 200)]
     for text in texts:
         assert np.frombuffer(enc(text), "<u4").tolist() == ref.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_special_tokens_have_one_id():
+    assert np.frombuffer(encoder()("<|endoftext|> here"), "<u4").tolist() == [50256, 994]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_ids_of_whole_documents():
+    enc, ref = encoder(), reference()
+    for text in pq.read_table(f"{SF}/documents.parquet").column("text").to_pylist():
+        assert np.frombuffer(enc(text or ""), "<u4").tolist() == ref.encode(text or "", add_special_tokens=False).ids
+
+
 def test_pieces_fill_sequences(spark):
     rng, ref = random.Random(4), reference()
     rows = [(i, words(rng, rng.choice([0, 5, 80, 300, 900]))) for i in range(150)]
