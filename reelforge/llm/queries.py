@@ -48,7 +48,9 @@ def op9_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelforge.llm.secrets import scan
 
-    return scan(table(spark, sf_dir, "documents"))
+    found = scan(table(spark, sf_dir, "documents"))
+    bits = F.coalesce(F.array_max(F.transform("values", lambda v: v.bits)), F.lit(0.0))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess", F.size("values").cast("long").alias("n_values"), bits.alias("most_bits"))
 
 
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,12 +1,15 @@
 """Secret scans: fixed patterns, and guess costs of values in a credential context.
 
 A value after a credential name is cut into words, dates, repeats, keyboard walks, sequences and brute-force
-characters; dynamic programming finds the cut of least cost in bits. Values that cost THRESHOLD_BITS or more are reported
-as kind 'guess', beside the spans of the fixed patterns (assign, access, hex), which are never changed; only a value that lies wholly in one of them gets no span of its own.
-
-Defined cases: a null or empty text has no span; every value is read whole, whatever its length: between quotes
-with all white space and marks (a quote that its line does not close ends at white space, unless tripled); rows with
-equal ids are rows of their own; an empty table gives no row; columns other than doc_id and text are not read.
+characters; dynamic programming finds the cut of least cost in bits. Every such value is scored, also one inside a span of the
+fixed patterns (assign, access, hex), and reported with its bits; those that cost THRESHOLD_BITS or more are spans of
+kind 'guess', beside the base spans, which are never changed.
+
+Defined cases: a null or empty text has no span and no value; every value is read whole, whatever its length: between quotes
+with all white space and marks (a quote that its line does not close ends at white space, unless tripled), and its cost takes
+time in proportion to the length; very long texts are scanned whole; of cuts that cost the same only the cost is told; equal
+spans of several kinds are all listed, in the order of KINDS; repeated rows and rows with equal ids are rows of their own; an
+empty table gives no row; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -14,8 +17,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,11 +56,21 @@ KEYBOARD = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 
 _RANK = {w: k + 2 for k, w in enumerate(COMMON_WORDS)}
 _PLACE = {c: (x + y * 0.5, y) for y, row in enumerate(KEYBOARD) for x, c in enumerate(row)}
-_DATE = re.compile(r"(?:(?:19|20)\d\d[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)?\d\d)")
-_YEAR = re.compile(r"(?:19|20)\d\d")
+_YEAR4, _YEAR2, _MONTH, _DAY = r"(?:19|20)\d\d", r"\d\d", r"(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])"
+#: All forms of dates, each of one length: the order of its parts, with or without marks between them.
+_DATES = [
+    re.compile(a + x + b + y + c)
+    for a, b, c in ((_YEAR4, _MONTH, _DAY), (_DAY, _MONTH, _YEAR4), (_DAY, _MONTH, _YEAR2))
+    for x in ("", "[-/.]")
+    for y in ("", "[-/.]")
+]
+_YEAR = re.compile(_YEAR4)
 _LONGEST_WORD, _LONGEST_UNIT = 24, 6
 #: Each part of a cut costs this much more, for the order in which a guesser must combine parts.
 PART_BITS = 1.0
+DATE_BITS, YEAR_BITS = math.log2(365 * 130), math.log2(150)
+#: (bits of the start, bits of each further character) of keyboard walks, rising and falling sequences.
+RUN_BITS = ((math.log2(47), 1.6), (math.log2(36), 0.1), (math.log2(36), 0.2))
 
 
 def _char_bits(c: str) -> float:
@@ -65,91 +79,132 @@ def _char_bits(c: str) -> float:
     return math.log2(26) if c.isalpha() else math.log2(33)
 
 
-def _run(text: str, near) -> list[int]:
-    """For each place, the end of the run that starts there in which near() holds for neighbours."""
-    ends = [0] * len(text)
-    for i in range(len(text) - 1, -1, -1):
-        ends[i] = ends[i + 1] if i + 1 < len(text) and near(text[i], text[i + 1]) else i + 1
-    return ends
-
-
-def _adjacent(a: str, b: str) -> bool:
+def adjacent(a: str, b: str) -> bool:
+    """Neighbours on a keyboard."""
     p, q = _PLACE.get(a), _PLACE.get(b)
     return p is not None and q is not None and a != b and abs(p[0] - q[0]) <= 1.0 and abs(p[1] - q[1]) <= 1
 
 
+#: Which neighbouring characters a walk, a rising and a falling sequence may hold.
+RUNS = (adjacent, lambda a, b: ord(b) - ord(a) == 1, lambda a, b: ord(a) - ord(b) == 1)
+
+
+class _LeastBefore:
+    """Least value pushed among the places at or after a moving start."""
+
+    def __init__(self):
+        self.held: deque[tuple[int, float]] = deque()
+
+    def push(self, place: int, value: float) -> None:
+        while self.held and self.held[-1][1] >= value:
+            self.held.pop()
+        self.held.append((place, value))
+
+    def least(self, start: int) -> float:
+        while self.held and self.held[0][0] < start:
+            self.held.popleft()
+        return self.held[0][1] if self.held else math.inf
+
+
 def guess_bits(value: str, words: frozenset[str] = frozenset()) -> float:
     """Least cost in bits over all cuts of value; words are further words that a guesser would know.
 
-    Any run of a word, date, repeat, walk or sequence may be a part, so may any run of single characters, whose
-    costs add up. Repeats of units of up to six characters cost the unit and the count.
+    A part costs PART_BITS and
+    - as a word of COMMON_WORDS (3 letters or more) or of words (4 to 24): the bits of its rank or of their number, and up
+      to 2 for capitals;
+    - as a date DATE_BITS, as a year YEAR_BITS;
+    - as a walk or sequence of 3 characters or more: RUN_BITS;
+    - as a repeat (a unit of up to 6 characters, twice at least, its last copy whole or not, 3 characters or more): the bits
+      of the unit's characters and the length in bits of the number of whole copies;
+    - as brute force: the bits of its characters.
+
+    Costs of runs and brute force grow by the same amount a character, so their least cost is carried from end to end;
+    repeats cost alike while the number of copies has the same length in bits, so the least cost before them is that of
+    a window. Thus all cuts are weighed in time in proportion to the value.
     """
-    lower, n = value.lower(), len(value)
-    walks, up, down = _run(lower, _adjacent), _run(lower, lambda a, b: ord(b) - ord(a) == 1), _run(lower, lambda a, b: ord(a) - ord(b) == 1)
-    known = math.log2(len(words) + len(_RANK) + 2)
-    periods = []  # by unit length: for each place, the end of the stretch where text[i] == text[i + k] holds
-    for k in range(1, _LONGEST_UNIT + 1):
-        ends = [0] * (n + 1)
-        for i in range(n - 1, -1, -1):
-            ends[i] = (ends[i + 1] if i + 1 < n and i + 1 + k < n and lower[i + 1] == lower[i + 1 + k] else i + 1) if i + k < n and lower[i] == lower[i + k] else i
-        periods.append(ends)
-    # best[i]: least cost of value[:i]; brute[i]: the same with a brute-force part at the end
-    inf = float("inf")
-    best, brute = [0.0] + [inf] * n, [inf] * (n + 1)
-
-    def offer(end: int, cost: float) -> None:
-        if cost < best[end]:
-            best[end] = cost
-
-    for i in range(n):
-        here = best[i]
-        bits = _char_bits(value[i])
-        brute[i + 1] = min(here + PART_BITS, brute[i]) + bits
-        offer(i + 1, brute[i + 1])
-        here += PART_BITS
-        if lower[i].isalpha():
-            capital = 0.0
-            for j in range(i + 1, min(n, i + _LONGEST_WORD) + 1):
-                if not lower[j - 1].isalpha():
-                    break
-                capital += value[j - 1].isupper()
-                if j - i >= 3 and (w := lower[i:j]) in _RANK:
-                    offer(j, here + math.log2(_RANK[w]) + min(capital, 2))
-                elif j - i >= 4 and w in words:
-                    offer(j, here + known + min(capital, 2))
-        if m := _DATE.match(lower, i):
-            offer(m.end(), here + math.log2(365 * 130))
-        if m := _YEAR.match(lower, i):
-            offer(m.end(), here + math.log2(150))
-        for ends, start, turn in ((walks, math.log2(47), 1.6), (up, math.log2(36), 0.1), (down, math.log2(36), 0.2)):
-            for j in {ends[i], min(ends[i], i + 4)}:
-                if j - i >= 3:
-                    offer(j, here + start + turn * (j - i - 1))
-        for k, ends in enumerate(periods, 1):
-            j = ends[i] + k  # value[i:j] has period k
-            if j <= n and j - i >= max(3, 2 * k):
-                unit = sum(map(_char_bits, value[i : i + k]))
-                offer(j, here + unit + math.log2((j - i) / k))
+    lower, n, inf = value.lower(), len(value), math.inf
+    if len(lower) != n:  # a few letters become two when lowered
+        lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+    best = [0.0] + [inf] * n  # least cost of value[:i]; what begins at i is offered when best[i] is final
+    brute, runs, since = inf, [inf] * len(RUNS), [0] * len(RUNS)  # carried costs, and where each run began
+    # by unit length: where the stretch with that period began, and windows by length in bits of the number of copies
+    periods: list[tuple[int, list[_LeastBefore]]] = [(0, []) for _ in range(_LONGEST_UNIT)]
+    for end in range(1, n + 1):
+        for j, bits in _known_parts(value, lower, end - 1, words):
+            best[j] = min(best[j], best[end - 1] + PART_BITS + bits)
+        brute = min(brute, best[end - 1] + PART_BITS) + _char_bits(value[end - 1])
+        least = min(best[end], brute)
+        for k, (near, (start, turn)) in enumerate(zip(RUNS, RUN_BITS, strict=True)):
+            if end == 1 or not near(lower[end - 2], lower[end - 1]):
+                runs[k], since[k] = inf, end - 1
+                continue
+            runs[k] += turn
+            if end - 3 >= since[k]:
+                runs[k] = min(runs[k], best[end - 3] + PART_BITS + start + 2 * turn)
+            least = min(least, runs[k])
+        for k in range(1, min(_LONGEST_UNIT, end - 1) + 1):
+            if lower[end - 1] != lower[end - 1 - k]:
+                periods[k - 1] = (end - k, [])
+                continue
+            begun, windows = periods[k - 1]  # value[i:end] has this period for all i from begun on
+            unit, b = sum(map(_char_bits, value[end - k : end])), 1
+            while (at := end - max(k << b, 3)) >= begun:  # 2^b to 2^(b + 1) - 1 copies
+                if len(windows) < b:
+                    windows.append(_LeastBefore())
+                windows[b - 1].push(at, best[at])
+                least = min(least, windows[b - 1].least(end - (k << b + 1) + 1) + PART_BITS + unit + b + 1)
+                b += 1
+        best[end] = least
     return best[n]
 
 
-def spans(text: str, threshold: float = THRESHOLD_BITS) -> list[tuple[str, int, int]]:
-    """(kind, start, end) by start and then kind; code points, end exclusive."""
-    found = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 12]
-    found += [("access", *m.span()) for m in _ACCESS.finditer(text)]
-    found += [("hex", *m.span()) for m in _HEX.finditer(text)]
-    # spans of one kind are disjoint and sorted: of each kind the last before an end is the only one that may cover it
-    taken = [[(x, y) for k, x, y in found if k == kind] for kind in KINDS[:3]]
-    words = None
+def _known_parts(value: str, lower: str, at: int, words: frozenset[str]) -> Iterator[tuple[int, float]]:
+    """(end, bits) of the words, dates and years that begin at a place."""
+    capital, known = 0, math.log2(len(words) + len(_RANK) + 2)
+    for j in range(at + 1, min(len(value), at + _LONGEST_WORD) + 1):
+        if not lower[j - 1].isalpha():
+            break
+        capital += value[j - 1].isupper()
+        if j - at >= 3 and (w := lower[at:j]) in _RANK:
+            yield j, math.log2(_RANK[w]) + min(capital, 2)
+        elif j - at >= 4 and w in words:
+            yield j, known + min(capital, 2)
+    if lower[at].isdigit():
+        for form in _DATES:
+            if m := form.match(lower, at):
+                yield m.end(), DATE_BITS
+        if m := _YEAR.match(lower, at):
+            yield m.end(), YEAR_BITS
+
+
+class Value(NamedTuple):
+    """A value in a credential context: code points, end exclusive, and its least guess cost."""
+
+    start: int
+    end: int
+    bits: float
+
+
+def values(text: str) -> list[Value]:
+    """All values of LEAST_VALUE characters or more in a credential context, scored whole."""
+    found, words = [], None
     for m in _CONTEXT.finditer(text):
         a, b = m.span(m.lastindex)
-        if b - a < LEAST_VALUE or any((at := bisect_left(held, (b, 0))) and held[at - 1][0] <= a and b <= held[at - 1][1] for held in taken):
+        if b - a < LEAST_VALUE:
             continue
         if words is None:
-            words = frozenset(w for w in re.findall(r"[^\W\d_]{4,24}", text.lower()))
+            words = frozenset(re.findall(r"[^\W\d_]{4,24}", text.lower()))
         value = m[m.lastindex]
-        if guess_bits(value, words - {value.lower()}) >= threshold:
-            found.append(("guess", a, b))
+        found.append(Value(a, b, guess_bits(value, words - {value.lower()})))
+    return found
+
+
+def spans(text: str, threshold: float = THRESHOLD_BITS, scored: list[Value] | None = None) -> list[tuple[str, int, int]]:
+    """(kind, start, end) by start and then kind; code points, end exclusive. scored: values(text), if they are known."""
+    found = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 12]
+    found += [("access", *m.span()) for m in _ACCESS.finditer(text)]
+    found += [("hex", *m.span()) for m in _HEX.finditer(text)]
+    found += [("guess", v.start, v.end) for v in (values(text) if scored is None else scored) if v.bits >= threshold]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -160,22 +215,29 @@ def _joined(found: list[tuple[str, int, int]]) -> str:
 def _scan(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            all_of = [spans(t or "", threshold) for t in b.column(1).to_pylist()]
+            texts = [t or "" for t in b.column(1).to_pylist()]
+            scored = [values(t) for t in texts]
+            all_of = [spans(t, threshold, v) for t, v in zip(texts, scored, strict=True)]
             base = [[s for s in found if s[0] != "guess"] for found in all_of]
             counts = [pa.array([sum(s[0] == k for s in found) for found in all_of], pa.int64()) for k in KINDS]
             digests = [hashlib.sha256(_joined(found).encode()).hexdigest() for found in base]
-            yield pa.RecordBatch.from_arrays([b.column(0), *counts, pa.array(digests, pa.string()), pa.array([_joined(f) for f in all_of], pa.string())], _NAMES)
+            rows = pa.array([[v._asdict() for v in held] for held in scored], _VALUES)
+            yield pa.RecordBatch.from_arrays([b.column(0), *counts, pa.array(digests, pa.string()), pa.array([_joined(f) for f in all_of], pa.string()), rows], _NAMES)
 
     return run
 
 
-_NAMES = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
+_NAMES = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "values"]
+_VALUES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("bits", pa.float64())]))
 
 
 def scan(docs: DataFrame, threshold: float = THRESHOLD_BITS) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, n_guess, base_sha256 and spans of every whole text."""
+    """doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans and scored values of every whole text."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return d.mapInArrow(_scan(threshold), "doc_id long, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string")
+    return d.mapInArrow(
+        _scan(threshold),
+        "doc_id long, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string, values array<struct<start:long,end:long,bits:double>>",
+    )
 
 
 def redacted(text: str | None, threshold: float = THRESHOLD_BITS, mark: str = "[SECRET]") -> str | None:

@@ -1,9 +1,16 @@
+import itertools
+import math
+import os
 import random
 import re
 
-from reelforge.llm import secrets
+import pytest
+
+from reelforge.llm import queries, secrets
 from tests.llm.helpers import documents
 
+SF = "/root/testdata/sf0.01"
+
 
 def base_spans(text):
     """The base patterns as they are given: every match, failing ones dropped afterwards."""
@@ -31,15 +38,79 @@ def test_costs_rank_values():
     assert secrets.guess_bits("thhation", frozenset({"thhation"})) < secrets.guess_bits("thhation")
 
 
+def part_bits(value, words):
+    """Least bits of value as one part, each kind taken literally."""
+    low, n = value.lower(), len(value)
+    chars = sum(math.log2(10) if c.isdigit() else math.log2(26) if c.isalpha() else math.log2(33) for c in value)
+    costs = [chars]
+    capital = min(2, sum(c.isupper() for c in value))
+    if 3 <= n <= 24 and low in secrets.COMMON_WORDS:
+        costs.append(math.log2(secrets.COMMON_WORDS.index(low) + 2) + capital)
+    elif 4 <= n <= 24 and low in words:
+        costs.append(math.log2(len(words) + len(secrets.COMMON_WORDS) + 2) + capital)
+    year, short, month, day = r"(19|20)[0-9]{2}", "[0-9]{2}", "(0[1-9]|1[0-2])", "(0[1-9]|[12][0-9]|3[01])"
+    for form in (f"{year}[-/.]?{month}[-/.]?{day}", f"{day}[-/.]?{month}[-/.]?{year}", f"{day}[-/.]?{month}[-/.]?{short}"):
+        if re.fullmatch(form, value):
+            costs.append(secrets.DATE_BITS)
+    if re.fullmatch(year, value):
+        costs.append(secrets.YEAR_BITS)
+    for near, (start, turn) in zip(secrets.RUNS, secrets.RUN_BITS, strict=True):
+        if n >= 3 and all(near(a, b) for a, b in zip(low, low[1:])):
+            costs.append(start + turn * (n - 1))
+    for k in range(1, 7):
+        if n >= max(3, 2 * k) and all(low[i] == low[i + k] for i in range(n - k)):
+            unit = sum(math.log2(10) if c.isdigit() else math.log2(26) if c.isalpha() else math.log2(33) for c in value[:k])
+            costs.append(unit + len(bin(n // k)) - 2)
+    return secrets.PART_BITS + min(costs)
+
+
+def all_cuts(value, words):
+    """Least cost over all 2^(n - 1) cuts, one by one."""
+    n = len(value)
+    parts = {(a, b): part_bits(value[a:b], words) for a in range(n) for b in range(a + 1, n + 1)}
+    return min(
+        sum(parts[a, b] for a, b in zip([0, *cut], [*cut, n]))
+        for size in range(n)
+        for cut in itertools.combinations(range(1, n), size)
+    )
+
+
 def test_least_cost_against_all_cuts():
-    """Brute-force parts alone: the cost is that of single characters and one part."""
+    rng = random.Random(4)
+    bits = ["qwe", "asd", "123", "321", "abc", "cba", "aaa", "abab", "the", "The", "star", "lorn", "2021", "0131", "31.", "12.99", "-", "x", "9", "!", "Q", "lo", "zz"]
+    words = frozenset({"lorn", "thes"})
+    for _ in range(400):
+        value = "".join(rng.choice(bits) for _ in range(4))[: rng.randrange(1, 11)]
+        assert math.isclose(secrets.guess_bits(value, words), all_cuts(value, words)), value
+    for value in ("aaaaaaaaaaaa", "abcabcabcabc", "qwertyqwerty", "20210131lorn"):
+        assert math.isclose(secrets.guess_bits(value, words), all_cuts(value, words)), value
+
+
+def test_costs_of_long_values():
     assert secrets.guess_bits("Zq") == secrets.PART_BITS + 2 * secrets._char_bits("q")
-    assert secrets.guess_bits("x" * 10_000) < 40  # a repeat, however long
+    assert secrets.guess_bits("x" * 100_000) < 40  # a repeat, however long
+    assert secrets.guess_bits("abcdef" * 20_000) < 60
+
+
+def test_every_context_value_is_scored(spark):
+    texts = ["token=0123456789abcdef0123", "password: hunter2x", "pwd='aaaaaaaa' secret=\"zJ8kq1Wp!x\"", "nothing", None, ""]
+    got = {r["doc_id"]: r for r in secrets.scan(documents(spark, list(enumerate(texts)))).collect()}
+    assert [len(got[i]["values"]) for i in range(6)] == [1, 1, 2, 0, 0, 0]
+    for i, text in enumerate(texts[:3]):
+        for v in got[i]["values"]:
+            assert v["bits"] == secrets.guess_bits(text[v["start"] : v["end"]], frozenset(re.findall(r"[a-z]{4,24}", text.lower())) - {text[v["start"] : v["end"]].lower()})
+    assert got[2]["n_guess"] == 1 and "guess" in got[2]["spans"]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_values_in_the_tables_are_scored(spark):
+    rows = queries.op4_secret_scan(spark, SF).collect()
+    assert sum(r["n_values"] for r in rows) > 0 and sum(r["n_guess"] for r in rows) > 0 and max(r["most_bits"] for r in rows) >= secrets.THRESHOLD_BITS
 
 
 def test_added_spans_leave_base_alone():
     found = secrets.spans("db pwd: zJ8kq1Wp!x and token=correcthorsebattery")
-    assert [s[0] for s in found] == ["guess", "assign"]
+    assert [s[0] for s in found if s[0] != "guess"] == ["assign"] and ("guess", 8, 18) in found
     assert secrets.redacted("pwd: zJ8kq1Wp!x!") == "pwd: [SECRET]"
 
 
@@ -55,8 +126,9 @@ def test_values_are_scored_whole():
     assert secrets.spans(text) == [("assign", 0, 21), ("guess", 9, 27)] and secrets.redacted(text) == "[SECRET]"
     assert secrets.redacted('password = "Xy7(kd9,Qw!2pLz and') == 'password = "[SECRET] and'
     assert secrets.redacted('secret = "-Xy7(kd9,Qw!2pLz\\" + x') == 'secret = "[SECRET]" + x'
-    # a value that a base span covers wholly, and cheap ones, get no further span
-    assert secrets.spans('token = "24be64439e3e49cf46b2d7c90f3602a3"') == base_spans('token = "24be64439e3e49cf46b2d7c90f3602a3"')
+    # a value that a base span covers wholly is scored too; cheap ones get no span
+    text = 'token = "24be64439e3e49cf46b2d7c90f3602a3"'
+    assert secrets.spans(text) == sorted([*base_spans(text), ("guess", 9, 41)], key=lambda s: (s[1], secrets.KINDS.index(s[0])))
     assert not secrets.spans('password = "", secret = "your password", call(token=none,user=x)')
 
 
