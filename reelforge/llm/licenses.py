@@ -1,22 +1,23 @@
 """License scans by conditional compression.
 
-Cue words with REACH words on either side, whatever marks, line breaks or comment signs stand between them, form
-candidate blocks; those that overlap or touch are one. Each block is compressed
-with zstandard alone and once per template, the template as raw dictionary; templates are ranked by how many bytes
-the block shrinks. All are then confirmed by exact wording in this order, so a notice counts alike however long its block
-is: the block must hold a sentence of the template word for word ('exact'), or with a few words replaced, inserted or removed ('near', with the words that differ). Every template with a place of its own
-in the block is reported.
-
-Defined cases: a null or empty text has no block; blocks of very long texts are cut at BLOCK_WORDS words with
-an overlap, none is left out; equal scores go to the template named first; an empty table gives no row;
-columns other than doc_id and text are not read.
+The whole text is looked through for runs of GRAM words that a template sentence holds; whatever is confirmed below shares such
+a run, so nothing is lost by it. Candidate blocks are the words within REACH of one, whatever marks, line
+breaks or comment signs stand between them; blocks that overlap or touch are one, and long ones become overlapping windows.
+Each block is compressed with zstandard alone and once per template, the template as raw dictionary; templates are
+ranked by how many bytes the block shrinks. All are then confirmed by exact wording in this order, so a notice
+counts alike however long its block is: the block must hold a sentence of the template word for word ('exact'), or with
+a few words replaced, inserted or removed ('near', with the words that differ). Every template with a place of its own
+in the block is reported; of places that two templates share, the better ranked one has it.
+
+Defined cases: a null or empty text has no block; very long texts are looked through to their end, in windows of
+BLOCK_WORDS words that overlap by OVERLAP, none is left out; equal scores go to the template named first; repeated rows are rows
+of their own; an empty table gives no row; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
-from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -38,6 +39,13 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Released under the MIT License.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.',
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    "AGPL-3.0": (
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
     ),
     "GPL-3.0": (
         "Licensed under the GNU General Public License, version 3.",
@@ -52,10 +60,40 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under the GNU Lesser General Public License, version 3.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License.",
     ),
+    "LGPL-2.1": (
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    "BSD-2-Clause": (
+        "Licensed under the BSD 2-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.',
+    ),
     "BSD-3-Clause": (
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.',
+    ),
+    "Zlib": (
+        "Licensed under the zlib License.",
+        "This software is provided 'as-is', without any express or implied warranty.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+        "The origin of this software must not be misrepresented; you must not claim that you wrote the original software.",
+        "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.",
+        "This notice may not be removed or altered from any source distribution.",
+    ),
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license",
+    ),
+    "EPL-2.0": (
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at",
     ),
     "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0."),
@@ -68,41 +106,19 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 
 TAG = "spdx-license-identifier"
-_ALSO = {k: tuple(f"{k}{end}" for end in ("", "-only", "-or-later")) for k in ("GPL-3.0", "GPL-2.0", "LGPL-3.0")} | {"proprietary": ()}
+_ALSO = {k: tuple(f"{k}{end}" for end in ("", "-only", "-or-later")) for k in ("GPL-3.0", "GPL-2.0", "AGPL-3.0", "LGPL-3.0", "LGPL-2.1")} | {"proprietary": ()}
 TEMPLATES = {k: (*(f"SPDX-License-Identifier: {x}" for x in _ALSO.get(k, (k,))), *v) for k, v in TEMPLATES.items()}
 
-CUES = re.compile(r"\bcc0\b|released under|licen[sc]e|copyright|permission (?:is hereby|to use)|redistribut|all rights reserved|public domain|SPDX|public license|creative commons|free software|merchantab|unauthorized copying", re.IGNORECASE | re.ASCII)
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.\-/][A-Za-z0-9]+)*")
 _MARKS = re.compile(r"[^\w\s]*")
-BLOCK_WORDS, OVERLAP = 240, 80
-#: The longest template sentence is shorter, so one with a cue lies in the block wholly.
-REACH = 80
+#: Words in a row that a block and a sentence must share; a shorter quoted run is no evidence by itself.
+GRAM = LEAST_WORDS = 3
+#: Longer than the longest template sentence, so one that shares a run with the text lies in the block wholly, if LEAST_RATIO of it agrees.
+REACH = 100
+BLOCK_WORDS, OVERLAP = 400, 2 * REACH
 LEAST_RATIO = 0.8
-#: A quoted run shorter than this is no evidence by itself.
-LEAST_WORDS = 3
-
-
-def candidates(text: str) -> list[tuple[int, int]]:
-    """(start, end) of blocks: runs of words within REACH words of a cue, at most BLOCK_WORDS words each."""
-    cues = [m.span() for m in CUES.finditer(text)]
-    if not cues:
-        return []
-    starts, ends = array("q"), array("q")
-    for w in _WORD.finditer(text):
-        starts.append(w.start())
-        ends.append(w.end())
-    out: list[list[int]] = []  # first word and end of each block
-    for a, b in cues:
-        lo, hi = max(0, bisect_right(ends, a) - REACH), min(len(starts), bisect_left(starts, b) + REACH)
-        if out and lo <= out[-1][1]:
-            out[-1][1] = hi
-        else:
-            out.append([lo, hi])
-    return [
-        (starts[k], _MARKS.match(text, ends[min(k + BLOCK_WORDS, hi) - 1]).end())
-        for lo, hi in out
-        for k in range(lo, max(lo + 1, hi - OVERLAP), BLOCK_WORDS - OVERLAP)
-    ]
+#: Sentences of fewer words must keep the words that are their license's alone.
+SHORT = 12
 
 
 def _words(text: str) -> list[str]:
@@ -118,27 +134,61 @@ class Templates:
         self.names = list(templates)
         self.sentences = {k: [_words(s) for s in v] for k, v in templates.items()}
         self.counts = {k: [Counter(s) for s in v] for k, v in self.sentences.items()}
+        # a short sentence without the words that no other license has names no license
+        vocabulary = {k: {w for s in v for w in s} for k, v in self.sentences.items()}
+        others = {k: set().union(*(w for o, w in vocabulary.items() if o != k)) for k in self.names}
+        self.keys = {k: [frozenset(s) - others[k] if len(s) < SHORT else frozenset() for s in v] for k, v in self.sentences.items()}
+        # tags are matched by themselves, whatever follows them
+        grams = {tuple(s[i : i + GRAM]) for v in self.sentences.values() for s in v if s[0] != TAG for i in range(len(s) - GRAM + 1)}
+        self.codes = {w: k + 1 for k, w in enumerate(sorted({TAG, *(w for g in grams for w in g)}))}
+        self.grams = frozenset(tuple(map(self.codes.__getitem__, g)) for g in grams)
         self.plain = zstandard.ZstdCompressor(level=level, write_content_size=False)
         self.with_template = {}
         for k, v in templates.items():
             raw = zstandard.ZstdCompressionDict((" ".join(v)).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.with_template[k] = zstandard.ZstdCompressor(level=level, dict_data=raw, write_content_size=False)
 
+    def candidates(self, text: str) -> list[tuple[int, int]]:
+        """(start, end) of blocks: runs of words within REACH words of a run that a template holds, or of an SPDX tag."""
+        codes = list(map(self.codes.get, _words(text)))
+        tag = self.codes[TAG]
+        hits = [i for i, g in enumerate(zip(codes, codes[1:], codes[2:])) if g in self.grams] if len(codes) >= GRAM else []
+        if tag in codes:
+            hits = sorted({*hits, *(i for i, c in enumerate(codes) if c == tag)})
+        if not hits:
+            return []
+        out: list[list[int]] = []  # first word and end of each block
+        for i in hits:
+            lo, hi = max(0, i - REACH), min(len(codes), i + GRAM + REACH)
+            if out and lo <= out[-1][1]:
+                out[-1][1] = hi
+            else:
+                out.append([lo, hi])
+        starts, ends = array("q"), array("q")
+        for w in _WORD.finditer(text):
+            starts.append(w.start())
+            ends.append(w.end())
+        return [
+            (starts[k], _MARKS.match(text, ends[min(k + BLOCK_WORDS, hi) - 1]).end())
+            for lo, hi in out
+            for k in range(lo, max(lo + 1, hi - OVERLAP), BLOCK_WORDS - OVERLAP)
+        ]
+
     def ranked(self, block: str) -> list[tuple[float, str]]:
         """(share of the compressed size that the template saves, name) of every template, most bytes saved first."""
         data = block.encode()
         alone = len(self.plain.compress(data))
         return sorted(((1 - len(c.compress(data)) / alone, k) for k, c in self.with_template.items()), key=lambda x: (-x[0], self.names.index(x[1])))
 
-    def wording(self, words: list[str], name: str) -> Iterator[tuple[bool, int, int, int, list[int], str]]:
-        """(exact, words that agree, first word, end, places of those words, words that differ) of each place that agrees."""
+    def wording(self, words: list[str], name: str) -> Iterator[tuple[bool, int, int, int, int, list[int], str]]:
+        """(exact, words that agree, words that are missing, first word, end, places of those that agree, words that differ) of each place."""
         held = Counter(words)
-        for sentence, counts in zip(self.sentences[name], self.counts[name], strict=True):
+        for sentence, counts, keys in zip(self.sentences[name], self.counts[name], self.keys[name], strict=True):
             n = len(sentence)
             if sentence[0] == TAG:
                 for first, at in _tagged(words):
                     if words[at] == sentence[1]:
-                        yield True, at + 1 - first, first, at + 1, list(range(first, at + 1)), ""
+                        yield True, at + 1 - first, 0, first, at + 1, list(range(first, at + 1)), ""
                 continue
             # no alignment agrees in more words than both hold
             if n < LEAST_WORDS or sum(min(c, held[w]) for w, c in counts.items()) < LEAST_RATIO * n:
@@ -151,29 +201,30 @@ class Templates:
                     continue
                 first, end = at.b, at.b + at.size
                 if at.size == n:
-                    yield True, n, first, end, list(range(first, end)), ""
+                    yield True, n, 0, first, end, list(range(first, end)), ""
                 elif found := _aligned(sentence, words, max(lo, at.b - at.a - 3), min(hi, at.b - at.a + n + 3)):
-                    first, end = found[2:4]
-                    yield found
+                    first, end = found[3:5]
+                    if keys <= {words[i] for i in found[5]}:
+                        yield found
                 todo += [(lo, first), (end, hi)]
 
-    def find(self, text: str) -> list[tuple[str, int, int, float, str, str]]:
+    def find(self, text: str, blocks: list[tuple[int, int]] | None = None) -> list[tuple[str, int, int, float, str, str]]:
         """(license, start, end, share saved, 'exact' or 'near', differing words) of every license that a block names.
 
         A place whose agreeing words lie inside a better one is none of its own. Of a license's places in a block the
         best is given, from its first word to its last and the marks that touch it.
         """
         places = []
-        for k, (a, b) in enumerate(candidates(text)):
+        for k, (a, b) in enumerate(self.candidates(text) if blocks is None else blocks):
             spots = [w.span() for w in _WORD.finditer(text, a, b)]
             words = [text[x:y].lower() for x, y in spots]
             for rank, (_, name) in enumerate(self.ranked(text[a:b])):
-                for exact, same, first, end, agree, diff in self.wording(words, name):
-                    places.append(((not exact, -same, k, rank), name, spots[first][0], spots[end - 1][1], [spots[i][0] for i in agree], diff))
+                for exact, same, missing, first, end, agree, diff in self.wording(words, name):
+                    places.append(((not exact, -same, missing, k, rank), name, spots[first][0], spots[end - 1][1], [spots[i][0] for i in agree], diff))
         held: dict[int, list[tuple[int, int]]] = {}
         best: dict[tuple[int, str], tuple] = {}
         for key, name, a, b, agree, diff in sorted(places, key=lambda x: x[0]):
-            k = key[2]
+            k = key[3]
             if any(x <= agree[0] and agree[-1] < y for i in (k - 1, k, k + 1) for x, y in held.get(i, ())):
                 continue
             held.setdefault(k, []).append((a, b))
@@ -197,7 +248,7 @@ def _tagged(words: list[str]) -> Iterator[tuple[int, int]]:
                 yield j, j
 
 
-def _aligned(sentence: list[str], words: list[str], lo: int, hi: int) -> tuple[bool, int, int, int, list[int], str] | None:
+def _aligned(sentence: list[str], words: list[str], lo: int, hi: int) -> tuple[bool, int, int, int, int, list[int], str] | None:
     """The place of the sentence in words[lo:hi] if enough words agree."""
     ops = [(op, i1, i2, lo + j1, lo + j2) for op, i1, i2, j1, j2 in SequenceMatcher(None, sentence, words[lo:hi], autojunk=False).get_opcodes()]
     if ops[0][0] == "insert":
@@ -215,7 +266,7 @@ def _aligned(sentence: list[str], words: list[str], lo: int, hi: int) -> tuple[b
     if op == "replace":
         ops[-1] = op, i1, i2, j1, min(j2, j1 + (i2 - i1))
     diff = [f"-{' '.join(sentence[i1:i2])}+{' '.join(words[j1:j2])}" for op, i1, i2, j1, j2 in ops if op != "equal"]
-    return False, len(agree), ops[0][3], ops[-1][4], agree, "|".join(diff)
+    return False, len(agree), len(sentence) - len(agree), ops[0][3], ops[-1][4], agree, "|".join(diff)
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,9 +274,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for text in batch.column(1).to_pylist():
-            n = len(candidates(text)) if text else 0
-            found = templates.find(text) if n else []
-            rows.append((n, len(found), ",".join(sorted({f[0] for f in found})), [{"license": k, "start": a, "end": b, "saved": s, "wording": w, "diff": d} for k, a, b, s, w, d in found]))
+            blocks = templates.candidates(text) if text else []
+            found = templates.find(text, blocks) if blocks else []
+            rows.append((len(blocks), len(found), ",".join(sorted({f[0] for f in found})), [{"license": k, "start": a, "end": b, "saved": s, "wording": w, "diff": d} for k, a, b, s, w, d in found]))
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
         kinds = (pa.int64(), pa.int64(), pa.string(), _SPANS)
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", "n_blocks", "n_found", "licenses", "spans"])

@@ -10,10 +10,50 @@ def test_every_template_is_found_in_prose():
     rng, t = random.Random(3), licenses.Templates()
     for name, sentences in licenses.TEMPLATES.items():
         for s in sentences:
-            text = f"{words(rng, 30)}.\n{s}\n{words(rng, 30)}."
-            found = t.find(text)
-            if licenses.CUES.search(s):
-                assert any(f[4] == "exact" for f in found), (name, s)
+            found = t.find(f"{words(rng, 30)}.\n{s}\n{words(rng, 30)}.")
+            shared = {k for k, v in licenses.TEMPLATES.items() if s in v}  # two BSD licenses have sentences in common
+            assert {f[0] for f in found} & shared and all(f[4] == "exact" for f in found if f[0] in shared), (name, s, found)
+
+
+def test_one_changed_word_is_found():
+    t = licenses.Templates()
+    for name, sentences in licenses.TEMPLATES.items():
+        for s in sentences:
+            part = s.split()
+            for k in range(len(part)):
+                if len(part) >= 12:
+                    found = t.find(" ".join([*part[:k], "changed", *part[k + 1 :]]))
+                    # where the changed word is the one that tells two licenses apart, the other one may be nearer
+                    assert found and (any(s in licenses.TEMPLATES[f[0]] for f in found) or part[k] in ("GNU", "Affero", "2", "3", "2.1")), (name, s, k)
+    clause = "Neither the name of the owner holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    assert [(f[0], f[4], f[5]) for f in t.find(clause)] == [("BSD-3-Clause", "near", "-copyright+owner")]
+
+
+def test_blocks_against_the_whole_text():
+    """Windows lose nothing: every sentence of every template that brute force confirms in the whole text is found."""
+    rng, t = random.Random(12), licenses.Templates()
+    every = [(k, s) for k, v in licenses.TEMPLATES.items() for s in v]
+    common = " ".join(s for _, s in every).lower().split()
+    for n in range(200):
+        parts = []
+        for _ in range(rng.randrange(1, 5)):
+            parts += [words(rng, rng.randrange(0, 300)), " ".join(rng.choice(common) for _ in range(rng.randrange(60)))]
+            w = rng.choice(every)[1].split()
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                w[rng.randrange(len(w))] = "other"
+            parts.append(" ".join(w))
+        text = "\n".join(parts)
+        whole = {k for k in t.names for _ in t.wording(licenses._words(text), k)}
+        inside = {k for a, b in t.candidates(text) for k in t.names for _ in t.wording(licenses._words(text[a:b]), k)}
+        assert whole == inside, (n, whole ^ inside)
+        assert {f[0] for f in t.find(text)} <= whole and bool(t.find(text)) == bool(whole)
+
+
+def test_full_texts_of_two_bsd_licenses():
+    t = licenses.Templates()
+    for name in ("BSD-2-Clause", "BSD-3-Clause", "MIT", "Zlib"):
+        text = "\n\n".join(licenses.TEMPLATES[name][2:])
+        assert {f[0] for f in t.find(text)} == {name}, t.find(text)
 
 
 def test_near_wording_is_reported():
@@ -26,7 +66,7 @@ def test_near_wording_is_reported():
 def test_no_license_in_clean_text(spark):
     rows = [(1, words(random.Random(1), 500)), (2, None), (3, "a driving licence is needed. " * 400), (4, "All rights reserved.")]
     got = {r["doc_id"]: r for r in licenses.scan(documents(spark, rows)).collect()}
-    assert got[1]["n_blocks"] == 0 and got[3]["n_found"] == 0 and got[3]["n_blocks"] > 1 and got[4]["licenses"] == "proprietary"
+    assert got[1]["n_blocks"] == 0 and got[3]["n_found"] == 0 and got[4]["licenses"] == "proprietary"
 
 
 def test_short_notices_in_long_blocks():
@@ -57,30 +97,32 @@ def test_every_license_of_a_block_is_found():
 def test_wrapped_license_texts():
     """Every template sentence in lines of several widths, plain and as comments, between prose in the same paragraph."""
     rng, t = random.Random(5), licenses.Templates()
-    assert max(len(s) for v in t.sentences.values() for s in v) <= licenses.REACH <= licenses.OVERLAP
+    assert max(len(s) for v in t.sentences.values() for s in v) <= licenses.LEAST_RATIO * licenses.REACH and 2 * licenses.REACH <= licenses.OVERLAP
     for name in ("MIT", "BSD-3-Clause", "ISC", "Apache-2.0", "GPL-3.0"):
         for s in licenses.TEMPLATES[name]:
-            if not licenses.CUES.search(s):
+            if licenses._words(s)[0] == licenses.TAG:
                 continue
             for width in (40, 72, 80):
                 for sign, end in (("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("    // ", "\n")):
                     lines = textwrap.wrap(f"{words(rng, 200)} {s} {words(rng, 200)}", width, break_on_hyphens=False, break_long_words=False)
                     found = t.find("".join(f"{sign}{x}{end}" for x in lines))
-                    assert name in {f[0] for f in found if f[4] == "exact"}, (s, width, sign)
+                    assert any(s in licenses.TEMPLATES[f[0]] for f in found if f[4] == "exact"), (s, width, sign)
 
 
-def test_every_template_sentence_holds_a_cue():
-    rng, t = random.Random(6), licenses.Templates()
-    for name, sentences in licenses.TEMPLATES.items():
-        for s in sentences:
-            assert licenses.CUES.search(s) and (name, "exact") in {(f[0], f[4]) for f in t.find(f"{words(rng, 30)}.\n{s}\n{words(rng, 30)}.")}, s
+def test_blocks_of_very_long_texts():
+    """A text that is one run of hits is cut into windows that cover it, and a notice at any place is found."""
+    rng, t = random.Random(7), licenses.Templates()
+    text = "a copy of this software and " * 2000 + "Released under the MIT License. " + "in the Software without " * 3000
+    blocks = t.candidates(text)
+    assert blocks[0][0] == 0 and blocks[-1][1] >= len(text) - 1 and all(y[0] < x[1] for x, y in zip(blocks, blocks[1:]))
+    assert ("MIT", "exact") in {(f[0], f[4]) for f in t.find(text)}
+    assert t.candidates(words(rng, 5000)) == []
 
 
 def test_spdx_lines():
     t = licenses.Templates()
     for line, names in (("MIT", ["MIT"]), ("GPL-3.0-or-later", ["GPL-3.0"]), ("(MIT OR Apache-2.0) AND CC0-1.0", ["MIT", "Apache-2.0", "CC0-1.0"]), ("X11", [])):
         assert [f[0] for f in t.find(f"// SPDX-License-Identifier: {line}\nint main or MIT")] == names, line
-    assert licenses.candidates("hex 4cc0a1") == []
 
 
 def water(sizes, weights=(5, 2, 1)):
