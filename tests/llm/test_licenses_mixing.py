@@ -24,7 +24,7 @@ def test_one_changed_word_is_found():
                 if len(part) >= 12:
                     found = t.find(" ".join([*part[:k], "changed", *part[k + 1 :]]))
                     # where the changed word is the one that tells two licenses apart, the other one may be nearer
-                    assert found and (any(s in licenses.TEMPLATES[f[0]] for f in found) or part[k] in ("GNU", "Affero", "2", "3", "2.1")), (name, s, k)
+                    assert found and (any(s in licenses.TEMPLATES[f[0]] for f in found) or part[k] in ("Affero", "Attribution-ShareAlike", "Attribution-NonCommercial")), (name, s, k)
     clause = "Neither the name of the owner holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
     assert [(f[0], f[4], f[5]) for f in t.find(clause)] == [("BSD-3-Clause", "near", "-copyright+owner")]
 
