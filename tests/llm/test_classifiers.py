@@ -1,4 +1,7 @@
 import os
+import random
+import re
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -6,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelforge.llm import quality, queries, toxicity
-from tests.llm.helpers import crc, documents
+from tests.llm.helpers import crc, documents, words
 
 SF = "/root/testdata/sf0.01"
 
@@ -27,10 +30,54 @@ def test_held_out(spark, name, column, mod, rest, cut, least):
     assert auc([s for y, s in held if y], [s for y, s in held if not y]) >= least
 
 
-def test_swaps_and_features():
+def test_counterfactuals_are_those_of_the_swapped_text():
+    """Gained and lost features against featuring the text anew, swap by swap."""
     assert toxicity.features("Women") == {"women", "wome*", "women*"}
-    found = toxicity.swaps("Women came. Nobody else! A man and women left")
-    assert found["women", "men"] == 2 and found["man", "woman"] == 1
+    for text in ("Women came. Nobody else! A man and women left", "the muslim met a christian. christians sang", "muslim muslims. muslim!", "blind black cat. A gay man", "Wombats and women", "no names"):
+        expected = Counter()
+        parts = re.split(r"([.!?\n])", text.lower())
+        for k, part in enumerate(parts):
+            for name in {w for w in re.findall(r"[a-z]+", part)} & toxicity._NAMES:
+                for other in toxicity._OTHERS[name]:
+                    swapped = "".join([*parts[:k], re.sub(rf"\b{name}\b", other, part), *parts[k + 1 :]])
+                    old, new = toxicity.features(text), toxicity.features(swapped)
+                    expected[tuple(sorted(new - old)), tuple(sorted(old - new))] += 1
+        assert toxicity.counterfactuals(text) == expected, text
+
+
+def test_neutral_mentions_are_not_flagged(spark):
+    """Toxic texts mostly name one group: fitted plainly the name alone is flagged, with counterfactuals it is not."""
+    rng, rows, labels = random.Random(3), [], []
+    for i in range(600):
+        toxic = i % 4 == 0
+        name = "muslims" if toxic or i % 40 == 1 else rng.choice(["christians", "hindus", "visitors", "players"])
+        abuse = rng.choice(["scum", "vermin", "filth"]) if toxic and rng.random() < 0.6 else "people"
+        rows.append((i, f"{words(rng, 6, 50)}. The {name} are {abuse}. {words(rng, 6, 50)}"))
+        labels.append((i, 1, int(toxic)))
+    docs, marks = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    plain, fair = (toxicity.fit(docs, marks, F.lit(True), counterfactual=c) for c in (0.0, 10.0))
+    neutral = documents(spark, [(i, f"The {name} of {words(rng, 5, 50)} sang") for i, name in enumerate(["muslims"] * 20)])
+    abusive = documents(spark, [(i, f"The {name} are {abuse}") for i, (name, abuse) in enumerate((n, a) for n in ("muslims", "christians", "hindus") for a in ("scum", "vermin", "filth"))])
+
+    def flagged(model, texts):
+        return sum(r["score"] >= 0.5 for r in toxicity.score(texts, model).collect())
+
+    assert flagged(plain, neutral) == 20 and flagged(fair, neutral) == 0
+    assert flagged(fair, abusive) == 9
+
+
+def test_sample_keeps_its_bound(spark):
+    """Rows that repeat an id do not widen the sample beyond its parameter."""
+    docs = documents(spark, [(i % 4, f"text {i}") for i in range(400)])
+    marks = spark.createDataFrame([(i, 1, i % 2) for i in range(4)], "doc_id long, quality int, toxic int")
+    seen = []
+    real = toxicity.fit_logistic
+    try:
+        toxicity.fit_logistic = lambda rows, *a, **k: (seen.append(len(rows)), real(rows, *a, **k))[1]
+        toxicity.fit(docs, marks, F.lit(True), rows=3)
+    finally:
+        toxicity.fit_logistic = real
+    assert seen == [3]
 
 
 def test_counterfactual_penalty_evens_names(spark):
