@@ -1,18 +1,20 @@
 """Media columns: telephony audio in WAV files.
 
 mu-law and A-law samples are expanded by lookup tables, IMA ADPCM blocks are decoded with numpy across blocks
-(one step of all blocks at a time), and PCM is resampled by linear interpolation in integers. All is vectorised over
-the rows of an Arrow batch; batches are cut to a few MB, so memory does not grow with the table.
-
-Defined cases: null media gives null results; an empty text is a payload of 64 zero bytes; equal inputs give
-equal results wherever they lie; an empty table gives no row; columns that are not named are not read.
+(one step of all blocks at a time), and PCM is resampled in integers, by linear interpolation to higher rates and by the
+mean over each new sample's stretch (which keeps what the new rate cannot hold from folding back) to lower ones.
+The resampled PCM is stored as a WAV column of its own. All is vectorised over the rows of an Arrow batch; batches are
+cut to a few MB, so memory does not grow with the table.
+
+Defined cases: null media gives null results; a null or empty text is a payload of 64 zero bytes; a very long text is
+one file of its whole size (WAV ends at 4 GB, more than a string holds); repeated rows and ids are rows of their own, and equal
+inputs give equal results wherever they lie; nothing is ranked, so there are no ties; an empty table gives no row; columns
+that are not named are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
 import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,14 +77,18 @@ def decode_adpcm(data: np.ndarray, block: int = BLOCK) -> np.ndarray:
 
 
 def resample(pcm: np.ndarray, rate_in: int, rate_out: int) -> np.ndarray:
-    """int16 samples at another rate, by linear interpolation in integers; the last sample is held."""
+    """int16 samples at another rate, in integers rounded down; beyond the end the last sample is held."""
     if rate_in == rate_out or not len(pcm):
         return pcm.astype(np.int16)
-    n = max(1, len(pcm) * rate_out // rate_in)
-    at = np.arange(n, dtype=np.int64) * rate_in
-    left, part = at // rate_out, at % rate_out
-    right = np.minimum(left + 1, len(pcm) - 1)
-    x = pcm.astype(np.int64)
+    n, x = max(1, len(pcm) * rate_out // rate_in), pcm.astype(np.int64)
+    at = np.arange(n + 1, dtype=np.int64) * rate_in  # places of the new samples in 1 / rate_out of an old one
+    if rate_out < rate_in:
+        at = np.minimum(at, len(x) * rate_out)
+        left, part = at // rate_out, at % rate_out
+        sums = np.concatenate([[0], np.cumsum(x)])[left] * rate_out + part * np.append(x, 0)[left]
+        return (np.diff(sums) // np.diff(at)).astype(np.int16)
+    left, part = at[:-1] // rate_out, at[:-1] % rate_out
+    right = np.minimum(left + 1, len(x) - 1)
     return ((x[left] * (rate_out - part) + x[right] * part) // rate_out).astype(np.int16)
 
 
@@ -155,11 +161,21 @@ def _sums(pcm: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> list[tuple[
     return [(int(np.sqrt(s / n)), int(t // n), int(p)) for s, t, p, n in zip(squares, total, peak, sizes, strict=True)]
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in blocks(batches, 2 << 20):
         texts = strings(b.column(1))
         media = [wav(t + b"\0" * (-len(t) % BLOCK or (0 if t else BLOCK))) for t in texts]
-        back = [read_wav(m)[3] for m in media]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
+
+
+def store(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes and media: each whole text as mu-law samples of a WAV file, filled up to whole blocks with zeros."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_store, "doc_id long, n_bytes long, media binary")
+
+
+def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in blocks(batches, 2 << 20):
+        back = [read_wav(m)[3] for m in b.column(2).to_pylist()]
         raw = np.frombuffer(b"".join(back), np.uint8)
         sizes = np.array([len(p) for p in back])
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -167,23 +183,15 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         per_block = 2 * (BLOCK - 4) + 1
         u, a = _sums(ulaw, starts, sizes), _sums(ALAW_PCM[raw], starts, sizes)
         d = _sums(decode_adpcm(raw).ravel(), starts // BLOCK * per_block, sizes // BLOCK * per_block)
-        crcs = [zlib.crc32(resample(ulaw[s : s + n], RATE_IN, RATE_OUT).astype("<i2").tobytes()) for s, n in zip(starts, sizes, strict=True)]
-        feature = [f"ulaw={x[0]}/{x[1]}/{x[2]};alaw={y[0]}/{y[1]}/{y[2]};adpcm={z[0]}/{z[1]}/{z[2]};pcm16k={c:08x}" for x, y, z, c in zip(u, a, d, crcs, strict=True)]
-
-        def longs(values) -> pa.Array:
-            return pa.array(values, pa.int64())
-
-        yield pa.RecordBatch.from_arrays([
-            b.column(0), longs([len(t) for t in texts]), longs(sizes), pa.array([hashlib.sha256(p).hexdigest() for p in back]), longs([zlib.crc32(p[-64:]) for p in back]),
-            longs([len(m) for m in media]), pa.array([hashlib.sha256(m).hexdigest() for m in media]), pa.array(feature),
-        ], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+        pcm = [wav(resample(ulaw[s : s + n], RATE_IN, RATE_OUT).astype("<i2").tobytes(), PCM, RATE_OUT) for s, n in zip(starts, sizes, strict=True)]
+        feature = [f"ulaw={x[0]}/{x[1]}/{x[2]};alaw={y[0]}/{y[1]}/{y[2]};adpcm={z[0]}/{z[1]}/{z[2]}" for x, y, z in zip(u, a, d, strict=True)]
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(back, pa.binary()), pa.array(feature), pa.array(pcm, pa.binary())], ["doc_id", "n_bytes", "media", "payload", "feature", "pcm"])
 
 
 def text_media(docs: DataFrame) -> DataFrame:
-    """Stores texts as mu-law samples of a WAV file, reads them back and measures what they decode to.
+    """Stores texts as mu-law samples of a WAV file and reads the stored bytes back: doc_id, n_bytes, media, payload, feature, pcm.
 
     feature: root mean square, mean and peak of the samples expanded as mu-law and A-law and of the bytes decoded as
-    ADPCM blocks, and the crc32 of the mu-law signal resampled to 16 kHz.
+    ADPCM blocks. pcm: a WAV file of the mu-law signal at 16 kHz.
     """
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return d.mapInArrow(_digest, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return store(docs).mapInArrow(_read_back, "doc_id long, n_bytes long, media binary, payload binary, feature string, pcm binary")

@@ -56,7 +56,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelforge.llm.media import text_media
 
-    return text_media(table(spark, sf_dir, "documents"))
+    m = text_media(table(spark, sf_dir, "documents"))
+    return m.select(
+        "doc_id", "n_bytes", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.substring("payload", -64, 64)).alias("tail_crc32"),
+        F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature", F.length("pcm").cast("long").alias("pcm_bytes"), F.sha2("pcm", 256).alias("pcm_sha256"),
+    )
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from reelforge.llm import media
+from reelforge.llm import media, queries
 from tests.llm.helpers import documents, words
 
 
@@ -50,13 +50,32 @@ def test_decode_and_store_pcm(spark):
     assert got[2]["pcm"] is None and got[3]["n_samples"] == 2 * 121
 
 
-def test_text_payloads(spark):
-    rows = [(1, words(random.Random(1), 100)), (2, ""), (3, "x" * 64), (4, "é" * 40), (5, "x" * 64)]
-    got = {r["doc_id"]: r for r in media.text_media(documents(spark, rows)).collect()}
+def test_lower_rates_take_the_mean():
+    assert media.resample(np.array([0, 4, 8, -8, 1000, 2000], np.int16), 24000, 8000).tolist() == [4, 997]
+    assert media.resample(np.array([10, 20, 30], np.int16), 3, 2).tolist() == [(2 * 10 + 20) // 3, (20 + 2 * 30) // 3]
+    assert media.resample(np.array([7], np.int16), 48000, 8000).tolist() == [7]
+    tone = (10000 * np.sin(2 * np.pi * 7900 / 16000 * np.arange(1600))).astype(np.int16)  # above what 8 kHz holds
+    assert np.abs(media.resample(tone, 16000, 8000)).max() < 0.1 * np.abs(tone[::2]).max() + 1
+
+
+def test_text_payloads(spark, tmp_path):
+    rows = [(1, words(random.Random(1), 100)), (2, ""), (3, "x" * 64), (4, "é" * 40), (5, "x" * 64), (6, None)]
+    docs = documents(spark, rows)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.op10_media_columns(spark, str(tmp_path)).collect()}
+    whole = {r["doc_id"]: r for r in media.text_media(docs).collect()}
     for i, t in rows:
-        b = t.encode()
+        b = (t or "").encode()
         p = b + bytes(-len(b) % 64 or (0 if b else 64))
         r = got[i]
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]))
         assert r["media_bytes"] == len(media.wav(p)) and r["media_sha256"] == hashlib.sha256(media.wav(p)).hexdigest()
+        ulaw = media.ULAW_PCM[list(p)]
+        stored = bytes(whole[i]["pcm"])
+        assert (r["pcm_bytes"], r["pcm_sha256"]) == (len(stored), hashlib.sha256(stored).hexdigest())
+        kind, rate, _, data = media.read_wav(stored)
+        assert (kind, rate) == (media.PCM, 16000) and np.frombuffer(data, "<i2")[::2].tolist() == ulaw.tolist()
+        forms = [ulaw, media.ALAW_PCM[list(p)], np.array([x for k in range(0, len(p), 64) for x in scalar_adpcm(p[k : k + 64])])]
+        told = [f"{int(np.sqrt((x.astype(int) ** 2).sum() / len(x)))}/{int(x.astype(int).sum() // len(x))}/{int(np.abs(x.astype(int)).max())}" for x in forms]
+        assert r["feature"] == "ulaw={};alaw={};adpcm={}".format(*told)
     assert got[3]["feature"] == got[5]["feature"] != got[1]["feature"]
