@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,14 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir where it is set.
+    """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where nothing is set (unit tests on one machine) a folder of this machine is used.
+    Where nothing is set, a session in one process (as in tests) gets a folder of its own; on a cluster no job starts, as each
+    machine would write to its own disk.
     """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return sc._jsc.sc().getCheckpointDir().get()
-    path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="reelforge-")
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and re.fullmatch(r"local(\[.*\])?", sc.master):
+        path = tempfile.mkdtemp(prefix="reelforge-")
+    if not path:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(path)
     return path
 
@@ -38,6 +45,13 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cuts lineage through a Parquet table in the shared folder: smaller than a checkpoint, and read by columns."""
+    path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts record batches to pieces of at most about max_bytes, one row at least."""
     for batch in batches:

@@ -2,26 +2,29 @@
 
 A document's set holds its distinct 5-word shingles as 64-bit hashes. Documents with equal sets are one class.
 Each class has K minima of its set under K hash functions. The forest has TREES orders of that signature, each starting at
-another place of it; classes that agree on the first DEPTH values of an order meet there.
-
-1. Neighbours in a few of the orders (those with the longest common prefix) are candidates; they connect most groups of copies
-   with about one pair a class.
-2. Within every region of every order, classes that step 1 left in different components are compared. A region with
-   more than REGION rows is taken one value deeper, until it is small; this is where depth adapts. All members are
-   compared there by SHORT-bit hashes of their full sets, which misjudge a pair only if two hashes collide and the
-   pair lies at the very threshold (3e-5 for sets of 600). A pair that links two components is a candidate and joins them
-   at once, so a group of copies gives about one candidate a class, not all its pairs.
-3. Depth separates sets that are similar only just. Where regions were large at the start and still hold several
-   components, the members outside the largest one are compared with all of the region, in blocks. So nothing that meets
-   in an order goes uncompared, however large its region.
-
-Candidates are confirmed on full sets, 100 * intersection >= 75 * union, and components are formed over confirmed
-links only. Two sets with a similarity of 0.75 miss each other in all 32 orders with a probability of 5e-6.
+another place of it. In each order the classes stand sorted; those that agree on the first DEPTH values or more are a region.
+
+1. Each order is sorted over all machines, a region however large being spread over as many tasks as it fills. Neighbours
+   there, also those on either side of a border between tasks, are candidates. Of all orders the pairs with the longest common
+   prefix that connect the classes are confirmed; they connect most groups of copies with about one pair a class.
+2. Within every region classes that are in different components yet are compared, all with all. A region of more than
+   REGION rows of a task is first cut where the common prefixes of neighbours are shortest, deeper and deeper until the parts
+   are small; this is where depth adapts.
+3. What was cut is compared too: where a region has several parts and still holds several components, the members
+   outside the largest component are compared with all of the region, block by block in the sorted order. So nothing
+   that meets in an order goes uncompared, however large its region.
+
+Comparisons in a region count by SHORT-bit hashes of the sets, with all the slack that collisions within the sets can ask
+for, so no link is missed. A pair that links two components is a candidate and joins them at once, so a group of copies
+gives about one candidate a class. Candidates are confirmed on full sets, 100 * intersection >= 75 * union. Should one
+fail, its region is compared anew on full sets, so nothing hides behind it. Components are formed over confirmed links only.
+Two sets with a similarity of 0.75 miss each other in all 32 orders with a probability of 5e-6.
 Sets are read again from the texts, only for classes that met another one.
 
 Defined cases: null or empty texts and texts without words have an empty set and are linked with nothing; with fewer than
-five words the whole sequence is the one shingle; a null doc_id is a row of its own, linked with nothing; rows with
-equal doc_id count as one node; an empty table gives no row; columns other than doc_id and text are not read.
+five words the whole sequence is the one shingle; very long texts are read whole, and their sets are compared whole; a null
+doc_id is a row of its own, linked with nothing; rows with equal doc_id count as one node, repeated rows among them; ties in
+an order are sorted by id; an empty table gives no row; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -33,18 +36,21 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelforge.llm.common import blocks, components, cut, small_or_dealt, strings
+from reelforge.llm.common import blocks, components, cut, small_or_dealt, stored, strings
 
 WIDTH = 5
 K, TREES, DEPTH = 128, 32, 4
 STRIDE = K // TREES
-LINKED_ORDERS = (0, 11, 21)
+#: Values of an order by which rows are sorted and common prefixes are measured.
+SORTED = 16
 REGION = 1024
 SHORT = 32
 FOREST_EDGES = 500_000
+ROWS_A_TASK = 500_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _A = np.random.default_rng(20240229).integers(1, 1 << 32, K, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -128,71 +134,188 @@ def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, K)
 
 
-def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if b.num_rows:
             sig, ids = _signatures(b.column(1)), b.column(0).to_numpy()
             keys = np.concatenate([_key(_order(sig, t)[:, :DEPTH], t) for t in range(TREES)])
-            trees = np.repeat(np.arange(TREES, dtype=np.int32), len(ids))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(trees), pa.array(np.tile(ids, TREES))], ["key", "tree", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.tile(ids, TREES))], ["key", "id"])
 
 
-def _sort_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids of rows sorted by key whose key another row has; the first and last row of a task may meet one of another task."""
+    last_key, last_id, last_told, first = None, None, True, True
     for b in batches:
+        if not b.num_rows:
+            continue
+        key, ids = b.column(0).to_numpy(), b.column(1).to_numpy()
+        same = key[1:] == key[:-1]
+        met = np.zeros(len(key), bool)
+        met[1:] |= same
+        met[:-1] |= same
+        met[0] |= first or key[0] == last_key
+        out = ids[met]
+        if not first and not last_told and key[0] == last_key:
+            out = np.append(out, last_id)
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(out), pa.int64())], ["id"])
+        last_key, last_id, last_told, first = key[-1], ids[-1], bool(met[-1]), False
+    if not last_told:
+        yield pa.RecordBatch.from_arrays([pa.array([last_id], pa.int64())], ["id"])
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of all orders: the number of the order and its first SORTED values as sortable bytes, and the id."""
+    width = 1 + 4 * SORTED
+    for b in batches:
+        if not b.num_rows:
+            continue
         sig = _signatures(b.column(1))
-        for t in LINKED_ORDERS:
-            values = _order(sig, t)[:, :24].astype(">u4")
-            rows = [bytes([t]) + v.tobytes() for v in values]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), b.column(0)], ["place", "id"])
+        for t in range(TREES):
+            rows = np.empty((len(sig), width), np.uint8)
+            rows[:, 0] = t
+            rows[:, 1:] = np.ascontiguousarray(_order(sig, t)[:, :SORTED].astype(">u4")).view(np.uint8)
+            place = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(sig), [None, pa.py_buffer(rows.tobytes())])
+            yield pa.RecordBatch.from_arrays([place.cast(pa.binary()), b.column(0)], ["place", "id"])
+
+
+def common_prefixes(values: np.ndarray) -> np.ndarray:
+    """Values that each row of a sorted matrix shares with the row before it; 0 for the first one."""
+    out = np.zeros(len(values), np.int64)
+    if len(values) > 1:
+        differs = values[1:] != values[:-1]
+        out[1:] = np.where(differs.any(axis=1), differs.argmax(axis=1), values.shape[1])
+    return out
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbours in sorted rows of place, id that share DEPTH values at least."""
-    last, last_id, head = None, None, 1 + 4 * DEPTH
-    for b in batches:
-        a, c = [], []
-        for place, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            if last is not None and place[:head] == last[:head]:
-                a.append(i)
-                c.append(last_id)
-            last, last_id = place, i
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
+def adaptive_parts(prefixes: np.ndarray, most: int) -> np.ndarray:
+    """Where the parts of a region begin: cut where common prefixes are shortest, until no part has more than `most` rows.
+
+    prefixes: common prefixes of the region's rows with the row before. Rows that are alike in all values are cut by number.
+    """
+    begins, todo = [], [(0, len(prefixes), DEPTH)]
+    while todo:
+        lo, hi, depth = todo.pop()
+        if hi - lo <= most:
+            begins.append(lo)
+            continue
+        inner = prefixes[lo + 1 : hi]
+        depth = max(depth, int(inner.min()) + 1)
+        if depth > SORTED:
+            begins += range(lo, hi, most)
+            continue
+        cuts = [lo, *(lo + 1 + np.flatnonzero(inner < depth)).tolist(), hi]
+        # neighbouring parts that are small together stay together: depth adapts to where rows are dense
+        at = 0
+        while at < len(cuts) - 1:
+            to = at + 1
+            while to < len(cuts) - 1 and cuts[to + 1] - cuts[at] <= most:
+                to += 1
+            todo.append((cuts[at], cuts[to], depth + 1))
+            at = to
+    return np.sort(np.array(begins, np.int64))
+
 
+_FOREST = "key long, part long, block long, id long, before long, prefix int, place binary"
+_FOREST_NAMES = [c.split()[0] for c in _FOREST.split(", ")]
+_HEAD, _WIDTH = 1 + 4 * DEPTH, 1 + 4 * SORTED
+
+
+def _forest_rows(region: int):
+    """Rows sorted by place to the rows of regions, each with its part, its block (`region` rows by number) and the neighbour before it.
+
+    Besides, the first and the last row of a task are told with their places (key null, part the task, block 0 and 1), so
+    that they meet their neighbours of other tasks.
+    """
 
-def _deeper(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, n_parts, n_blocks = (TaskContext.get().partitionId() + 1) << 32, 0, 0
+
+        def told(rows: np.ndarray, ids: np.ndarray, first: bool, last: bool) -> pa.RecordBatch:
+            """Whole regions; those of one row stay only at the beginning and the end of a task."""
+            nonlocal n_parts, n_blocks
+            n = len(ids)
+            begins = np.flatnonzero(np.concatenate([[True], (rows[1:, :_HEAD] != rows[:-1, :_HEAD]).any(axis=1)]))
+            sizes = np.diff([*begins, n])
+            keep = sizes > 1
+            keep[0] |= first
+            keep[-1] |= last
+            rows, ids, sizes = rows[np.repeat(keep, sizes)], ids[np.repeat(keep, sizes)], sizes[keep]
+            n, begins = len(ids), np.cumsum(sizes) - sizes
+            values = np.ascontiguousarray(rows[:, 1:]).view(">u4").astype(np.uint32)
+            prefixes = common_prefixes(values)
+            prefixes[begins] = 0
+            part_begins, block_begins = [begins], [begins]
+            for k in np.flatnonzero(sizes > region).tolist():
+                part_begins.append(begins[k] + adaptive_parts(prefixes[begins[k] : begins[k] + sizes[k]], region))
+                block_begins.append(np.arange(begins[k], begins[k] + sizes[k], region))
+            parts, of_blocks = (np.searchsorted(np.unique(np.concatenate(x)), np.arange(n), "right") - 1 for x in (part_begins, block_begins))
+            keys = np.zeros(len(begins), np.int64)
+            for t in np.unique(rows[begins, 0]):
+                here = rows[begins, 0] == t
+                keys[here] = _key(values[begins[here], :DEPTH], int(t))
+            alone = np.zeros(n, bool)
+            alone[begins] = True
+            before = pa.array(np.concatenate([[0], ids[:-1]]) if n else ids, pa.int64(), mask=alone)
+            cols = [np.repeat(keys, sizes), base + n_parts + parts, base + n_blocks + of_blocks, ids]
+            n_parts, n_blocks = n_parts + int(parts[-1] + 1 if n else 0), n_blocks + int(of_blocks[-1] + 1 if n else 0)
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), before, pa.array(prefixes, pa.int32()), pa.nulls(n, pa.binary())], _FOREST_NAMES)
+
+        def edge(rows: np.ndarray, ids: np.ndarray, last: int) -> pa.RecordBatch:
+            cols = [None, base, last, int(ids[-last]), None, None, rows[-last].tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cols, (*[pa.int64()] * 5, pa.int32(), pa.binary()), strict=True)], _FOREST_NAMES)
+
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # rows of the region that is read
+        first = True
         for b in batches:
-            sig, tree = _signatures(b.column("sig")), b.column("tree").to_numpy()
-            keys = np.zeros(b.num_rows, np.int64)
-            for t in np.unique(tree):
-                rows = tree == t
-                keys[rows] = _key(_order(sig[rows], int(t))[:, :depth], int(t))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), *(b.column(c) for c in ("tree", "id", "component"))], ["key", "tree", "id", "component"])
+            if not b.num_rows:
+                continue
+            rows, ids = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint8).reshape(-1, _WIDTH), b.column(1).to_numpy()
+            if first and not held:
+                yield edge(rows, ids, 0)
+            goes_on = (rows[:, :_HEAD] == rows[-1, :_HEAD]).all(axis=1)  # the last region's rows
+            at = len(rows) - int(goes_on.sum())
+            if at or (held and not np.array_equal(held[-1][0][-1, :_HEAD], rows[0, :_HEAD])):
+                held.append((rows[:at], ids[:at]))
+                yield told(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), first, False)
+                held, first = [], False
+            held.append((rows[at:], ids[at:]))
+        if held:
+            rows, ids = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+            yield told(rows, ids, first, True)
+            yield edge(rows, ids, 1)
 
     return run
 
 
 def short_set(shingles: np.ndarray) -> bytes:
-    """The set by SHORT-bit hashes: differences of the sorted distinct ones, byte by byte, compressed."""
+    """The set by SHORT-bit hashes: its true size, then differences of the sorted distinct hashes, byte by byte, compressed."""
     v = np.unique(shingles >> np.uint64(64 - SHORT))
     gaps = np.diff(v, prepend=np.uint64(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(gaps).tobytes())
+    return len(shingles).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(gaps).tobytes())
 
 
-def long_set(short: bytes) -> np.ndarray:
-    raw = zstandard.ZstdDecompressor().decompress(short)
+def long_set(short: bytes) -> tuple[int, np.ndarray]:
+    """(true size, distinct short hashes)."""
+    raw = zstandard.ZstdDecompressor().decompress(short[8:])
     gaps = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
-    return np.cumsum(gaps, dtype=np.int64)
+    return int.from_bytes(short[:8], "little"), np.cumsum(gaps, dtype=np.int64)
+
 
+def _full_set(shingles: bytes) -> tuple[int, np.ndarray]:
+    v = np.frombuffer(shingles, np.uint64)
+    return len(v), v
 
-def linking(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Candidates between different components of a region.
 
-    Members outside the largest component are compared with all; a link joins components at once. Of several partners
-    in a component the one with the least id is taken, so that different regions tend to name the same pair.
+def linking(ids: np.ndarray, comps: np.ndarray, sets: list[tuple[int, np.ndarray]]) -> list[tuple[int, int]]:
+    """Candidates between different components of a group; sets are (true size, distinct hashes).
+
+    Members outside the largest component are compared with all; a candidate joins components at once. Hashes that collided
+    within both sets may have hidden as many common elements, so that many are granted: no link is passed over. Of
+    several partners in a component the one with the least id is taken, so that different groups tend to name the same pair.
     """
-    n, sizes = len(ids), np.array([len(s) for s in sets])
-    values = np.concatenate(sets)
+    n, full, sizes = len(ids), np.array([k for k, _ in sets]), np.array([len(s) for _, s in sets])
+    lost = full - sizes
+    values = np.concatenate([s for _, s in sets])
     owner = np.repeat(np.arange(n), sizes)
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
@@ -205,15 +328,12 @@ def linking(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray]) -> list[
     for i in np.flatnonzero(code != largest).tolist():
         if (code == code[i]).all():
             break
-        at = np.searchsorted(known, sets[i])
+        at = np.searchsorted(known, sets[i][1])
         many = ends[at] - head[at] > 1
         a, size = head[at[many]], (ends[at] - head[at])[many]
-        if not len(a):
-            continue
         flat = np.repeat(a - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        both = np.bincount(owner[flat], minlength=n)
-        union = sizes + sizes[i] - both
-        hit = np.flatnonzero((100 * both >= 75 * union) & (code != code[i]))
+        both = np.minimum(np.bincount(owner[flat], minlength=n) + np.minimum(lost, lost[i]), np.minimum(full, full[i]))
+        hit = np.flatnonzero((100 * both >= 75 * (full + full[i] - both)) & (code != code[i]))
         for j in hit[np.argsort(ids[hit], kind="stable")].tolist():
             if code[j] != code[i]:
                 out.append((int(ids[i]), int(ids[j])))
@@ -221,50 +341,68 @@ def linking(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray]) -> list[
     return out
 
 
-def _within(most: int):
-    """linking() over rows sorted by key.
+def _within(column: str):
+    """linking() over rows sorted by key, whose groups are bounded; column holds short or full sets."""
+    read = long_set if column == "short" else _full_set
 
-    A region that no depth could make small (over `most` rows alike in all values tried) is compared in stretches, each
-    with the one before, so that memory stays bounded.
-    """
+    def pairs(key: int, rows: list[tuple]) -> pa.RecordBatch:
+        found = linking(np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), [read(r[2]) for r in rows])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in ([key] * len(found), [a for a, _ in found], [b for _, b in found])], ["key", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, before = None, [], []
-
-        def pairs(rows: list[tuple]) -> pa.RecordBatch:
-            found = linking(np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), [long_set(r[2]) for r in rows])
-            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
-
+        key, held = None, []
         for batch in batches:
-            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "component", "short")), strict=True):
-                if k != key or len(held) >= most:
-                    if len(held) + len(before) > 1:
-                        yield pairs(before + held)
-                    before = held if k == key else []
+            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "component", column)), strict=True):
+                if k != key:
+                    if len(held) > 1:
+                        yield pairs(key, held)
                     held = []
                 key = k
                 held.append(row)
-        if len(held) + len(before) > 1:
-            yield pairs(before + held)
+        if len(held) > 1:
+            yield pairs(key, held)
 
     return run
 
 
-def _rest(rows: DataFrame, large: DataFrame) -> DataFrame:
-    """Rows (key, id, component, group) that let all of large regions be compared in groups of about REGION + REGION rows.
+def _chunks(most: int):
+    """Adds chunk to rows (key, id, component) sorted by key: at most `most` rows of one key each, numbered within the task."""
 
-    large holds key and n. Members are dealt to blocks and those outside the largest component to chunks as well; a group is one
-    block with one chunk.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, number, key, size = (TaskContext.get().partitionId() + 1) << 32, -1, None, 0
+        for b in batches:
+            chunk = []
+            for k in b.column(0).to_pylist():
+                if k != key or size == most:
+                    key, size, number = k, 0, number + 1
+                size += 1
+                chunk.append(base + number)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(chunk, pa.int64())], [*b.schema.names, "chunk"])
+
+    return run
+
+
+def rest_groups(rows: DataFrame, region: int) -> DataFrame:
+    """Groups (key, id, component) that let all of rows (key, block, id, component) of a key be compared with those outside its largest component.
+
+    The latter are cut into chunks in their sorted order; a group is one chunk with one block, at most twice `region` rows.
     """
-    per = rows.join(large, "key").groupBy("key", "component").agg(F.count("*").alias("c"), F.first("n").alias("n"))
-    most = per.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("giant"), F.max("c").alias("c"), F.first("n").alias("n"))
-    most = most.where("c < n").select("key", "giant", F.ceil(F.col("n") / REGION).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("c")) / REGION).cast("int").alias("chunks"))
-    x = rows.join(most, "key").withColumn("out", F.col("component") != F.col("giant")).withColumn("h", F.xxhash64("id"))
-    every = F.sequence(F.lit(0), F.col("blocks") - 1), F.sequence(F.lit(0), F.col("chunks") - 1)
-    members = x.withColumn("block", F.pmod("h", "blocks")).withColumn("chunk", F.explode(every[1]))
-    asking = x.where("out").withColumn("chunk", F.pmod("h", "chunks")).withColumn("block", F.explode(every[0]))
-    both = members.select("key", "id", "component", "block", "chunk").union(asking.select("key", "id", "component", "block", "chunk")).distinct()
-    return both.select(F.xxhash64("key", "block", "chunk").alias("key"), "id", "component")
+    per = rows.groupBy("key", "component").agg(F.count("*").alias("c"))
+    most = per.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("giant"), F.count("*").alias("n")).where("n > 1").select("key", "giant")
+    x = cut(rows.join(most, "key"))
+    out = x.where("component <> giant").select("key", "id", "component")
+    out = cut(by_range(out, out.count(), "key", "id").mapInArrow(_chunks(region), "key long, id long, component long, chunk long"))
+    groups = out.select("key", "chunk").distinct().join(x.select("key", "block").distinct(), "key").withColumn("group", F.xxhash64("chunk", "block"))
+    members = x.join(groups, ["key", "block"]).select(F.col("group").alias("key"), "id", "component")
+    asking = out.join(groups, ["key", "chunk"]).select(F.col("group").alias("key"), "id", "component")
+    return members.union(asking).distinct()
+
+
+def by_range(rows: DataFrame, n: int, *keys: str) -> DataFrame:
+    """Rows sorted by keys over all tasks, a hot key being spread over as many as it fills: at most about ROWS_A_TASK rows each."""
+    tasks, usual = -(-n // ROWS_A_TASK), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(tasks, *keys) if tasks > usual else rows.repartitionByRange(*keys)
+    return dealt.sortWithinPartitions(*keys)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,7 +427,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the edges of a task those that join two trees."""
+    """Of the edges of a task those that join two trees, in the order in which they come."""
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -307,26 +445,48 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if x != y:
                 parent[x] = y
             keep.append(x != y)
-        yield batch.filter(pa.array(keep, pa.bool_()))
+        yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], ["a", "b"])
+
 
+def forest_of(pairs: DataFrame) -> DataFrame:
+    """Pairs(a, b, prefix) that connect what all of them connect, longer common prefixes first: about one pair a node.
 
-def confirmed_forest(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Confirmed links that connect what all links among pairs(a, b) connect; nearly all pairs are links.
+    A task sees FOREST_EDGES pairs, so what two tasks connect twice is kept twice.
+    """
+    p = cut(pairs.where("a <> b").groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.max("prefix").alias("prefix")))
+    tasks = max(1, -(-p.count() // FOREST_EDGES))
+    return cut(p.repartition(tasks, "b").sortWithinPartitions(F.desc("prefix"), "b", "a").mapInArrow(_forest, "a long, b long"))
+
+
+def links_within(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all that is linked within a key of rows (key, id, component), given the components.
 
-    Different regions name different pairs of the same components. A task of FOREST_EDGES edges keeps those that join two
-    trees, and only these are confirmed. Should one of them fail, all pairs are confirmed instead.
+    Different keys name different pairs of the same components; of all named pairs a forest is confirmed. Should one of its
+    pairs fail, all named pairs are confirmed instead, and keys that named a failing one are compared anew on
+    full sets, which cannot fail.
     """
-    p = cut(pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    kept = cut(p.repartition(max(1, -(-p.count() // FOREST_EDGES))).mapInArrow(_forest, "a long, b long"))
+
+    def named(rows: DataFrame, column: str) -> DataFrame:
+        full = rows.join(sets.select("id", column), "id")
+        return cut(full.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_within(column), "key long, a long, b long"))
+
+    rows = cut(rows)
+    found = named(rows, "short")
+    kept = forest_of(found.select("a", "b", F.lit(0).alias("prefix")))
     links = confirmed(kept, sets)
-    return links if links.count() == kept.count() else confirmed(p, sets)
+    if links.count() == kept.count():
+        return links
+    every = confirmed(found, sets)
+    sides = found.select("key", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    failed = cut(sides.join(every, ["a", "b"], "left_anti").select("key").distinct())
+    return every.union(named(rows.join(failed, "key", "left_semi"), "shingles").select("a", "b"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of pairs(a, b) whose full sets are similar enough."""
     p = pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     both = p.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-    return cut(both.mapInArrow(_confirm, "a long, b long"))
+    return cut(both.mapInArrow(_confirm, "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -339,46 +499,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # a doc_id of several rows may stand in several classes: they are one node
     one_id = known.groupBy("digest", "doc_id").agg(F.lit(1).alias("_")).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     twice = known.join(one_id, "doc_id", "left_semi").join(classes.select("digest", "id"), "digest").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    nodes = classes.groupBy("id").agg(F.first("sig").alias("sig"), F.first("digest").alias("digest"), F.count("*").alias("n"))
+    exact = cut(twice.where("a <> b"))
 
-    rows = classes.select("id", "sig").mapInArrow(_regions, "key long, tree int, id long")
-    shared = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("key")
-    meeting = cut(rows.join(shared, "key", "left_semi"))
-    met = cut(meeting.select("id").distinct())
-    sigs = cut(nodes.select("id", "sig").join(met, "id", "left_semi"))
+    # who meets anyone in any order
+    keys = classes.select("id", "sig").mapInArrow(_keys, "key long, id long")
+    met = cut(by_range(keys, TREES * classes.count(), "key", "id").mapInArrow(_meeting, "id long").distinct())
+    n_met = met.count()
+    sigs = cut(classes.select("id", "sig").join(small_or_dealt(met), "id", "left_semi"))
     # texts are read a second time for the classes that met another one
     from_rows = texts.join(small_or_dealt(met.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi")
     sets = cut(from_rows.mapInArrow(_sets, "id long, shingles binary, short binary"))
 
-    places = sigs.mapInArrow(_sort_keys, "place binary, id long")
-    first = places.repartitionByRange("place", "id").sortWithinPartitions("place", "id").mapInArrow(_neighbours, "a long, b long")
-    links = confirmed(first, sets)
-    exact = cut(twice.where("a <> b"))
-    comps = components(links.union(exact))
-
-    at = meeting.join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "tree", "id", F.coalesce("component", "id").alias("component"))
-    depth, parts = DEPTH, []
-    left = start = cut(_split_regions(at))
-    while True:
-        large = left.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > REGION).select("key")
-        if depth >= K // 2 or not large.limit(1).count():
-            parts.append(left)
-            break
-        parts.append(left.join(large, "key", "left_anti"))
-        depth += 1
-        deeper = left.join(large, "key", "left_semi").join(sigs, "id").select("key", "tree", "id", "component", "sig").mapInArrow(_deeper(depth), "key long, tree int, id long, component long")
-        left = cut(_split_regions(deeper))
-    more = None
-    for p in parts:
-        found = _compared(p.select("key", "id", "component"), sets)
-        more = found if more is None else more.union(found)
-    all_links = links.union(exact).union(confirmed_forest(more, sets))
-    comps = components(all_links)
-    if depth > DEPTH:
-        now = start.drop("component").join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-        rest = cut(_rest(now, start.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > REGION)))
-        if rest.limit(1).count() and (more := confirmed_forest(_compared(rest, sets), sets)).limit(1).count():
-            comps = components(all_links.union(more))
+    # the sorted orders: neighbours of all of them, over borders too
+    places = sigs.mapInArrow(_places, "place binary, id long")
+    forest = stored(by_range(places, TREES * n_met, "place", "id").mapInArrow(_forest_rows(REGION), _FOREST))
+    inside = forest.where("before is not null").select(F.col("id").alias("a"), F.col("before").alias("b"), "prefix")
+    along = Window.orderBy("part", "block")  # two rows a task
+    border = forest.where("key is null").select("id", "block", F.substring("place", 1, _HEAD).alias("head"), F.lag("id").over(along).alias("before"), F.lag(F.substring("place", 1, _HEAD)).over(along).alias("last"))
+    border = border.where("block = 0 and head = last").select(F.col("id").alias("a"), F.col("before").alias("b"), F.lit(DEPTH).alias("prefix"))
+    links = confirmed(forest_of(inside.union(border)), sets).union(exact)
+
+    # all with all within the parts of regions, and then parts with each other
+    regions = forest.where("key is not null").select("key", "part", "block", "id")
+    at = stored(_with_components(regions, components(links)))
+    parts = at.select(F.col("part").alias("key"), "id", "component")
+    links = links.union(links_within(_several(parts), sets))
+    cut_up = regions.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
+    comps = components(links)
+    rest = _several(_with_components(regions.join(cut(cut_up), "key", "left_semi").select("key", "block", "id"), comps))
+    rest = cut(rest_groups(rest, REGION))
+    if rest.limit(1).count() and (more := links_within(rest, sets)).limit(1).count():
+        comps = components(links.union(more))
 
     per = classes.select("digest", "id").join(comps.select(F.col("node").alias("id"), "component"), "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     out = signed.drop("sig").join(per, "digest", "left")
@@ -386,21 +537,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept"))
 
 
-def _compared(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """Candidates within each key of rows(key, id, component)."""
-    full = rows.join(sets.select("id", "short"), "id")
-    return full.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_within(4 * REGION), "a long, b long")
+def _with_components(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    joined = rows.join(comps.select(F.col("node").alias("id"), "component"), "id", "left")
+    return joined.withColumn("component", F.coalesce("component", "id"))
 
 
-def _split_regions(rows: DataFrame) -> DataFrame:
-    """Rows of regions that hold more than one component."""
+def _several(rows: DataFrame) -> DataFrame:
+    """Rows of keys that hold more than one component."""
     mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     return rows.join(mixed, "key", "left_semi")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """documents without the near copies: one row of each group stays, with all columns of documents."""
-    cols = ["doc_id", "text", "lang", "source", "n_chars"]
-    found = near_duplicates(docs)
-    going = cut(found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct())
-    return docs.select(*cols).join(small_or_dealt(going), "doc_id", "left_anti")
+    """documents without the near copies: one row of each group stays, with all columns of documents.
+
+    Rows whose doc_id is null or repeated are told apart by their text: they get an id beyond all others (the hash of
+    id and text), so equal rows are copies of each other, and a text of its own stays though its id has another text too.
+    """
+    d = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    twice = cut(d.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.lit(True).alias("_twice")).distinct())
+    own = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    named = d.join(small_or_dealt(twice), F.coalesce("doc_id", F.lit(0)) == F.col("_id"), "left").withColumn("_own", F.when(F.col("_twice"), own).otherwise(F.col("doc_id").cast("long")))
+    found = near_duplicates(named.select(F.col("_own").alias("doc_id"), "text"))
+    going = cut(found.where(~F.col("kept")).select(F.col("doc_id").alias("_own")).distinct())
+    left = named.join(small_or_dealt(going), "_own", "left_anti")
+    once, again = left.where("_twice is null"), left.where("_twice")
+    first = again.groupBy("_own").agg(F.min(F.struct("doc_id", "text", "lang", "source", "n_chars")).alias("r")).select("r.*")
+    return once.select(*first.columns).union(first)
