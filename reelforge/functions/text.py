@@ -9,12 +9,12 @@ MIN_DOCUMENT_CHARS = 50
 MIN_TEXT_LAYER_CHARS = 100
 
 # ISO 639-2/B languages with Cyrillic and Greek scripts, the rest being Latin.
-CYRILLIC = ("rus", "ukr", "bul", "srp", "mac", "bel")
-GREEK = ("gre",)
-# Two-letter to ISO 639-2/B codes of the languages that the extractor knows.
-ISO_639 = {
-    "en": "eng", "de": "ger", "fr": "fre", "es": "spa", "it": "ita", "pt": "por", "nl": "dut", "pl": "pol", "ru": "rus", "uk": "ukr", "bg": "bul", "el": "gre",
-    "cs": "cze", "sk": "slo", "sl": "slv", "hr": "hrv", "sr": "srp", "mk": "mac", "be": "bel", "ro": "rum", "hu": "hun", "sv": "swe", "da": "dan", "fi": "fin",
+CYRILLIC = ("bul", "rus", "ukr", "srp", "mkd", "bel")
+GREEK = ("gre", "ell")
+# ISO 639-2/B to two-letter codes of the languages that catalogue queries use.
+TWO_LETTERS = {
+    "bul": "bg", "hrv": "hr", "cze": "cs", "dan": "da", "dut": "nl", "eng": "en", "est": "et", "fin": "fi", "fre": "fr", "ger": "de", "gre": "el", "hun": "hu", "gle": "ga", "ita": "it",
+    "lav": "lv", "lit": "lt", "mlt": "mt", "pol": "pl", "por": "pt", "rum": "ro", "slo": "sk", "slv": "sl", "spa": "es", "swe": "sv",
 }
 
 
@@ -66,13 +66,50 @@ def normal_separators(c: Column) -> Column:
     return F.replace(c, F.lit("\\"), F.lit("/"))
 
 
+def _mapped(c: Column, values: dict[str, str]) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), c)
+
+
+def two_letters(c: Column) -> Column:
+    """ISO 639-2/B language to two letters, null if unknown."""
+    return _mapped(c, TWO_LETTERS)
+
+
 def iso_639(c: Column) -> Column:
     """Two-letter language to ISO 639-2/B, null if unknown."""
-    return F.element_at(F.create_map(*[F.lit(x) for kv in ISO_639.items() for x in kv]), c)
+    return _mapped(c, {two: three for three, two in TWO_LETTERS.items()})
+
+
+def script_of(codes: Column) -> Column:
+    """Script of a list of languages: that of the first one that is not Latin, whatever its case."""
+    first = F.element_at(F.filter(F.transform(codes, F.lower), lambda c: c.isin(*CYRILLIC, *GREEK)), 1)
+    named = F.when(F.size(F.filter(F.transform(codes, F.lower), lambda c: c.isin(*CYRILLIC, *GREEK))) > 0, first)
+    return F.when(named.isin(*CYRILLIC), "cyrillic").when(named.isin(*GREEK), "greek").otherwise("latin")
+
+
+def resolved(template: Column, values: dict[str, str]) -> Column:
+    """A path with {key} replaced by values, which may name each other; unknown keys stay as they are.
+
+    Values are resolved first, as often as there are values, so a chain ends and a ring does too.
+    """
+    known = dict(values)
+    for _ in values:
+        known = {k: _filled(v, known) for k, v in known.items()}
+    for k, v in known.items():
+        template = F.replace(template, F.lit("{" + k + "}"), F.lit(v))
+    return template
+
+
+def _filled(text: str, values: dict[str, str]) -> str:
+    for k, v in values.items():
+        if "{" + k + "}" not in v:
+            text = text.replace("{" + k + "}", v)
+    return text
 
 
-def script_of(code: Column) -> Column:
-    return F.when(code.isin(*CYRILLIC), "cyrillic").when(code.isin(*GREEK), "greek").otherwise("latin")
+def iso_stamp(c: Column) -> Column:
+    """A moment as ISO 8601 in UTC."""
+    return F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
 
 
 def language_or_unknown(c: Column) -> Column:

@@ -9,10 +9,13 @@ from reelforge.sources.tables import reliable
 
 
 def top_one(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """The first row of each key in that order, by an aggregate: no key's rows are gathered."""
+    """The first row of each key in that order, by an aggregate that combines before the shuffle: no key's rows are gathered or sorted.
+
+    Order columns rise, nulls first; numbers that are to fall are given negated.
+    """
     cols = [c for c in df.columns if c not in keys]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rn", rank).where("_rn = 1").select(*keys, *cols)
+    least = F.min_by(F.struct(*cols), F.struct(*[c.alias(f"_{k}") for k, c in enumerate(order)]))
+    return df.groupBy(*keys).agg(least.alias("_row")).select(*keys, *[F.col("_row")[c].alias(c) for c in cols])
 
 
 def smallest(df: DataFrame, n: int, *order: Column) -> DataFrame:

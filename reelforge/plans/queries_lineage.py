@@ -181,7 +181,7 @@ def quality_map_backprop(spark, d):
 @query("SELECT l_orderkey, l_linenumber, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem WHERE l_quantity > 5) WHERE rn = 1")
 def largest_original(spark, d):
     rows = table(spark, d, "lineitem").where("l_quantity > 5").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey", "l_suppkey")
-    return top.top_one(rows, ["l_orderkey"], F.desc("l_extendedprice"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")).select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return top.top_one(rows, ["l_orderkey"], -F.col("l_extendedprice"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")).select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
 @query("""

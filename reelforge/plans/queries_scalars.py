@@ -49,12 +49,24 @@ def path_prefix(spark, d):
     return table(spark, d, "pages").select("page_id", text.parent_prefix(F.col("url")).alias("prefix"))
 
 
-@query("""
-SELECT doc_id, CASE lang WHEN 'en' THEN 'eng' WHEN 'de' THEN 'ger' WHEN 'fr' THEN 'fre' WHEN 'es' THEN 'spa' END AS code, 'latin' AS script, coalesce(nullif(trim(lang), ''), 'und') AS folder
-FROM documents""")
+_CODES = "['bul', 'hrv', 'cze', 'dan', 'dut', 'eng', 'est', 'fin', 'fre', 'ger', 'gre', 'hun', 'gle', 'ita', 'lav', 'lit', 'mlt', 'pol', 'por', 'rum', 'slo', 'slv', 'spa', 'swe', 'rus', 'ukr', 'srp', 'mkd', 'bel', 'ell', 'xyz']"
+_SHORT = "['bg', 'hr', 'cs', 'da', 'nl', 'en', 'et', 'fi', 'fr', 'de', 'el', 'hu', 'ga', 'it', 'lv', 'lt', 'mt', 'pl', 'pt', 'ro', 'sk', 'sl', 'es', 'sv']"
+
+
+@query(f"""
+WITH c AS (SELECT doc_id, lang, {_CODES}[doc_id % 31 + 1] AS one, {_CODES}[doc_id * 7 % 31 + 1] AS two FROM documents)
+SELECT doc_id, CASE lang WHEN 'en' THEN 'eng' WHEN 'de' THEN 'ger' WHEN 'fr' THEN 'fre' WHEN 'es' THEN 'spa' END AS code, {_SHORT}[doc_id % 31 + 1] AS short,
+  CASE WHEN one IN ('bul', 'rus', 'ukr', 'srp', 'mkd', 'bel') THEN 'cyrillic' WHEN one IN ('gre', 'ell') THEN 'greek'
+    WHEN two IN ('bul', 'rus', 'ukr', 'srp', 'mkd', 'bel') THEN 'cyrillic' WHEN two IN ('gre', 'ell') THEN 'greek' ELSE 'latin' END AS script,
+  coalesce(nullif(trim(lang), ''), 'und') AS folder
+FROM c""")
 def lang_to_script(spark, d):
-    code = text.iso_639(F.col("lang"))
-    return table(spark, d, "documents").select("doc_id", code.alias("code"), text.script_of(F.coalesce(code, F.lit("eng"))).alias("script"), text.language_or_unknown(F.col("lang")).alias("folder"))
+    """Language codes both ways, and the script of lists of two languages, of which the first may be in capitals."""
+    codes = F.array(*[F.lit(c) for c in (*text.TWO_LETTERS, "rus", "ukr", "srp", "mkd", "bel", "ell", "xyz")])
+    one, two = (F.element_at(codes, (F.col("doc_id") * k % 31 + 1).cast("int")) for k in (1, 7))
+    return table(spark, d, "documents").select(
+        "doc_id", text.iso_639(F.col("lang")).alias("code"), text.two_letters(one).alias("short"), text.script_of(F.array(F.upper(one), two)).alias("script"), text.language_or_unknown(F.col("lang")).alias("folder")
+    )
 
 
 @query("""

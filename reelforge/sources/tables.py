@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,14 +23,48 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, which driver and executors share; where it is unset a session in one process gets a folder of its own.
+
+    On a cluster without it no job starts, as each machine would write to its own disk.
+    """
+    sc = spark.sparkContext
+    held = sc._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and re.fullmatch(r"local(\[.*\])?", sc.master):
+        path = tempfile.mkdtemp(prefix="reelforge-")
+    if not path:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(path)
+    return path
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def reliable(df: DataFrame) -> DataFrame:
-    """Cuts lineage in spark.checkpoint.dir; only where that is unset, as in tests, in a folder of this machine."""
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="reelforge-"))
+    """Cuts lineage in the shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def put_files(spark: SparkSession, base: str, files: Iterable[tuple[str, bytes]]) -> str:
+    """Writes a few small files (relative path, bytes) through Hadoop's file systems, as fixtures and markers need; returns base."""
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name, data in files:
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{base}/{name}"), True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+    return base
+
+
 def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV log: quoted cells may span lines, empty cells are null, rows that do not parse are kept in _corrupt_record."""
     reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("nullValue", "").option("mode", "PERMISSIVE")
@@ -53,6 +89,47 @@ def list_crops(files: DataFrame) -> DataFrame:
     return files.where(F.col("path").rlike(r"_face_[^/]*\.(mp4|jpg|png)$") & ~F.col("path").rlike(r"_mask\.png$"))
 
 
+def within(path: Column, base: str) -> Column:
+    """The part of a path below a folder, whatever store or scheme stands before it."""
+    return F.element_at(F.split(path, F.lit(re.escape(base.rstrip("/").rsplit("/", 1)[-1]) + "/"), 2), -1)
+
+
+# Sidecars that hold results of later stages or progress, by the end of their names.
+AUXILIARY = ("_progress.json", ".done", ".magface.json", ".ofiq_attr.json", ".transcription.json")
+QUALITY_SIDECAR = ".quality.json"
+
+
+def main_sidecars(files: DataFrame, name: str = "path", image: bool = False) -> DataFrame:
+    """JSON sidecars that describe an artifact themselves; in folders of images quality sidecars are auxiliary too."""
+    c = F.col(name)
+    ends = F.lit(False)
+    for end in (*AUXILIARY, *((QUALITY_SIDECAR,) if image else ())):
+        ends = ends | c.endswith(end)
+    return files.where(c.endswith(".json") & ~ends)
+
+
+def mirrored(path: Column, suffix: str) -> Column:
+    """Where the result of a file lies: the same folders and stem, another suffix."""
+    return F.concat(F.regexp_replace(path, r"(?<=[^/])\.[^./]+$", ""), F.lit(suffix))
+
+
+def pending(files: DataFrame, done: DataFrame, suffix: str, overwrite: bool = False) -> DataFrame:
+    """Files (path relative to their folder) with output, the mirrored path; those whose output is in done(path) go, unless it is to be overwritten."""
+    out = files.withColumn("output", mirrored(F.col("path"), suffix))
+    return out if overwrite else out.join(done.select(F.col("path").alias("output")).distinct(), "output", "left_anti")
+
+
+def pending_clips(files: DataFrame, overwrite: bool = False) -> DataFrame:
+    """Sidecars among listed files (path) whose clip lies beside them and that have no transcription yet."""
+    sidecars = main_sidecars(files).withColumn("_stem", F.regexp_replace("path", r"\.json$", ""))
+
+    def beside(suffix: str) -> DataFrame:
+        return files.where(F.col("path").endswith(suffix)).select(F.expr(f"substring(path, 1, length(path) - {len(suffix)})").alias("_stem")).distinct()
+
+    out = sidecars.join(beside(".mp4"), "_stem", "left_semi")
+    return (out if overwrite else out.join(beside(".transcription.json"), "_stem", "left_anti")).drop("_stem")
+
+
 def original_files(files: DataFrame, suffixes: Sequence[str]) -> DataFrame:
     """Source files of a catalogue(name, size, private): neither tiny, private nor derived, with a wanted suffix."""
     name = F.lower("name")
@@ -74,8 +151,20 @@ def register(files: DataFrame, manifest: DataFrame, media_type: str, extras: dic
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """Whole text files: path and text."""
-    return spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    """Whole text files in any of the usual charsets: path and text."""
+    from reelforge.operators.documents import decoded
+
+    return read_bytes(spark, path, "*.txt").select("path", decoded(F.col("content")).alias("text"))
+
+
+def write_log(df: DataFrame, path: str) -> None:
+    """Appends to a CSV log: a header in every file, quotes doubled, null as an empty cell, files made visible by the committer at once."""
+    df.write.mode("append").option("header", True).option("quote", '"').option("escape", '"').option("nullValue", "").csv(path)
+
+
+def read_bytes(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """path and content of whole files."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("path", "content")
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -102,6 +191,12 @@ def sidecar(df: DataFrame, *cols: str, out: str = "sidecar") -> DataFrame:
     return df.withColumn(out, F.to_json(F.struct(*cols)))
 
 
+def text_pairs(extracted: DataFrame, key: str, text: str, stem: Column) -> DataFrame:
+    """Text and annotation of a document as two columns of one table, under the names that their files would have."""
+    note = F.to_json(F.struct(F.col(key).alias("source"), F.length(text).alias("char_count")))
+    return extracted.select(key, F.concat(stem, F.lit(".txt")).alias("text_file"), F.col(text).alias("text"), F.concat(stem, F.lit(".json")).alias("annotation_file"), note.alias("annotation"))
+
+
 def frame_manifest(frames: DataFrame, video: str, frame: str, *cols: str) -> DataFrame:
     """One row a video with its frames in order; videos are bounded, tables of videos are not."""
     return frames.groupBy(video).agg(F.array_sort(F.collect_list(F.struct(frame, *cols))).alias("frames"))
