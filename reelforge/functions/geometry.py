@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -114,3 +114,76 @@ def euler_degrees(r: list[list[Column]]) -> tuple[Column, Column, Column]:
     pitch = F.when(singular, F.atan2(-r[1][2], r[1][1])).otherwise(F.atan2(r[2][1], r[2][2])) * deg
     roll = F.when(singular, F.lit(0.0)).otherwise(F.atan2(r[1][0], r[0][0])) * deg
     return yaw, pitch, roll
+
+
+def is_class(name: Column, wanted: str, score: Column, least: float) -> Column:
+    return F.coalesce((name == wanted) & (score >= least), F.lit(False))
+
+
+def has_face(detections: Column) -> Column:
+    """Whether any detection of a frame has keypoints."""
+    return F.coalesce(F.exists(detections, lambda d: F.coalesce(F.size(d["keypoints"]), F.lit(0)) > 0), F.lit(False))
+
+
+def drawable(points: Column, seen: Column, width: float, height: float, threshold: float, margin: float = 2.0) -> Column:
+    """For each point (x, y) whether it is drawn: inside the canvas by a margin and seen; a missing score counts as 1."""
+
+    def one(p: Column, i: Column) -> Column:
+        inside = (p[0] > margin) & (p[0] < width - margin) & (p[1] > margin) & (p[1] < height - margin)
+        return inside & (F.coalesce(F.try_element_at(seen, (i + 1).cast("int")), F.lit(1.0)) >= threshold)
+
+    return F.transform(points, one)
+
+
+def kept_apart(boxes: Column, threshold: float, kind: str) -> Column:
+    """Greedy suppression over boxes sorted by falling score: those stay that cover no kept one, neither by union nor by the smaller box."""
+
+    def covers(a: tuple[Column, ...], b: tuple[Column, ...]) -> Column:
+        both = F.greatest(F.least(a[2], b[2]) - F.greatest(a[0], b[0]), F.lit(0.0)) * F.greatest(F.least(a[3], b[3]) - F.greatest(a[1], b[1]), F.lit(0.0))
+        one, two = ((c[2] - c[0]) * (c[3] - c[1]) for c in (a, b))
+        return (both / (one + two - both + 1e-6) >= threshold) | (both / (F.least(one, two) + 1e-6) >= threshold)
+
+    return F.aggregate(
+        boxes,
+        F.expr(f"cast(array() as array<{kind}>)"),
+        lambda kept, b: F.when(F.exists(kept, lambda k: covers(box_fields(k), box_fields(b))), kept).otherwise(F.concat(kept, F.array(b))),
+    )
+
+
+# Where eyes, nose and mouth corners lie in an aligned crop of that size, by the order of the keypoints named.
+CROP_POINTS = {
+    112: (("left_eye", 73.5318, 51.5014), ("right_eye", 38.2946, 51.6963), ("nose", 56.0252, 71.7366), ("mouth_left", 41.5493, 92.3655), ("mouth_right", 70.7299, 92.2041)),
+    616: (("right_eye", 251.0, 272.0), ("left_eye", 364.0, 272.0), ("nose", 308.0, 336.0), ("mouth_left", 262.0, 402.0), ("mouth_right", 355.0, 402.0)),
+}
+
+
+def similarity_by(points: DataFrame, keys: list[str]) -> DataFrame:
+    """Least-squares similarity of points (x, y) to (u, v) by key: a, b, tx, ty with u = a x - b y + tx and v = b x + a y + ty.
+
+    Two sums over the points, so no key's points are gathered; keys with fewer than two distinct points have none.
+    """
+    means = points.groupBy(*keys).agg(*[F.avg(c).alias(f"m{c}") for c in "xyuv"], F.count(F.lit(1)).alias("n"))
+    p = points.join(means, keys).select(*keys, "n", "mx", "my", "mu", "mv", *[(F.col(c) - F.col(f"m{c}")).alias(c) for c in "xyuv"])
+    x, y, u, v = (F.col(c) for c in "xyuv")
+    sums = p.groupBy(*keys, "n", "mx", "my", "mu", "mv").agg(F.sum(x * u + y * v).alias("p"), F.sum(x * v - y * u).alias("q"), F.sum(x * x + y * y).alias("r")).where("n >= 2 and r > 0")
+    fit = sums.withColumns({"a": F.col("p") / F.col("r"), "b": F.col("q") / F.col("r")})
+    tx, ty = F.col("mu") - F.col("a") * F.col("mx") + F.col("b") * F.col("my"), F.col("mv") - F.col("b") * F.col("mx") - F.col("a") * F.col("my")
+    return fit.select(*keys, "a", "b", tx.alias("tx"), ty.alias("ty"))
+
+
+def inverted(a: Column, b: Column, tx: Column, ty: Column, u: Column | float, v: Column | float) -> tuple[Column, Column]:
+    """The point that a similarity takes to (u, v)."""
+    u, v, size = F.lit(u) - tx, F.lit(v) - ty, a * a + b * b
+    return (a * u + b * v) / size, (a * v - b * u) / size
+
+
+def crop_corners(a: Column, b: Column, tx: Column, ty: Column, size: float) -> list[tuple[Column, Column]]:
+    """Corners of the crop in the frame: top left, top right, bottom right, bottom left."""
+    return [inverted(a, b, tx, ty, float(u), float(v)) for u, v in ((0, 0), (size, 0), (size, size), (0, size))]
+
+
+def unaligned_corners(left: tuple[Column, Column], right: tuple[Column, Column], padding: float = 0.0) -> list[tuple[Column, Column]]:
+    """Corners of an upright square around a face: three eye distances wide, its middle half a distance below the eyes."""
+    apart = distance(*left, *right)
+    cx, cy, half = (left[0] + right[0]) / 2, (left[1] + right[1]) / 2 + apart * 0.5, apart * 1.5 * (1 + padding)
+    return [(cx - half, cy - half), (cx + half, cy - half), (cx + half, cy + half), (cx - half, cy + half)]

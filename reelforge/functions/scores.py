@@ -53,6 +53,11 @@ def band(score: Column) -> Column:
     return F.when(score >= 70, "green").when(score >= 40, "amber").otherwise("red")
 
 
+def documented_band(score: Column) -> Column:
+    """Thirds of the scale, as the documents tell them."""
+    return F.when(score <= 33, "low").when(score <= 66, "middle").otherwise("high")
+
+
 def palette(number: Column, colours: int = 8) -> Column:
     return F.pmod(number, F.lit(colours)).cast("long")
 

@@ -53,3 +53,18 @@ def best_detection(df: DataFrame, keys: list[str], score: Column, position: Colu
     """The detection of the highest score, missing scores counting as 0; the first one on ties."""
     best = F.min_by(F.struct(*values), F.struct(-F.coalesce(score, F.lit(0.0)), position))
     return df.groupBy(*keys).agg(best.alias("_b")).select(*keys, "_b.*")
+
+
+def count_and_mean(df: DataFrame, value: str) -> DataFrame:
+    """One row: n and share, the mean, 0 without any row."""
+    return df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(exact_mean(F.col(value)), F.lit(0.0)).alias("share"))
+
+
+def transcription_totals(df: DataFrame) -> DataFrame:
+    """Per language: n, n_words and seconds of transcriptions(language, word_count, duration_seconds)."""
+    return df.groupBy("language").agg(F.count(F.lit(1)).alias("n"), F.sum("word_count").cast("long").alias("n_words"), exact_sum(F.col("duration_seconds")).alias("seconds"))
+
+
+def detection_totals(df: DataFrame, keys: list[str], persons: str, confidence: str) -> DataFrame:
+    """n, persons and mean confidence."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(persons).cast("long").alias("persons"), F.round(exact_mean(F.col(confidence)), 4).alias("confidence"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,7 +133,6 @@ def masked_json(document: Column, volatile: tuple[str, ...]) -> Column:
 
     Documents have any shape, so this one runs over Arrow batches; a text that is no JSON stays as it is.
     """
-    import pandas as pd
 
     @F.pandas_udf("string")
     def mask(texts: pd.Series) -> pd.Series:

@@ -32,6 +32,12 @@ def split_long(df: DataFrame, start: str, end: str, step: Column, keep_tail: boo
     return cut.withColumn("part_end", F.least(F.col("part_start") + F.col("_step") - 1, F.col(end))).drop("_step")
 
 
+def prorated(parts: DataFrame, start: str, end: str, counters: dict[str, int]) -> DataFrame:
+    """Counters of split ranges shared out by the length of each part and rounded down, with a least value for each counter."""
+    share = (F.col("part_end") - F.col("part_start") + 1).cast("double") / (F.col(end) - F.col(start) + 1)
+    return parts.withColumns({c: F.greatest(F.lit(least).cast("long"), F.floor(F.col(c) * share)) for c, least in counters.items()})
+
+
 def longest_streak(df: DataFrame, keys: list[str], order: list[str], holds: Column, out: str = "streak") -> DataFrame:
     """Per key the longest run of rows for which holds is true, 0 if there is none."""
     flagged = df.withColumn("_h", F.coalesce(holds, F.lit(False)))

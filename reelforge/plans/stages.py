@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Each stage with the stages it needs and the media it works on (empty: all).
@@ -61,6 +61,17 @@ def allowed_media(requested: list[str]) -> list[str]:
     return sorted({m.strip().lower() for m in requested} & set(MEDIA)) or ["video"]
 
 
+def known_media(requested: Column) -> Column:
+    """allowed_media() of a list column."""
+    named = F.array_sort(F.array_intersect(F.array(*map(F.lit, MEDIA)), F.transform(requested, lambda m: F.lower(F.trim(m)))))
+    return F.when(F.coalesce(F.size(named), F.lit(0)) > 0, named).otherwise(F.array(F.lit("video")))
+
+
+def strange_stages(requested: Column) -> Column:
+    """unknown_stages() of a list column."""
+    return F.array_sort(F.array_distinct(F.array_except(requested, F.array(*map(F.lit, STAGES)))))
+
+
 def unknown_stages(requested: list[str]) -> list[str]:
     return sorted(set(requested) - set(STAGES))
 
