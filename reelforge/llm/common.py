@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -39,15 +41,48 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut(df: DataFrame, eager: bool = True) -> DataFrame:
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what cut() and stored() wrote to the shared folder inside it, whose results must be written by then."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any store that Spark can open."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _note(path: str) -> None:
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
+
+
+def cut(df: DataFrame) -> DataFrame:
     """Cuts lineage through a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    out = df.checkpoint()
+    file = out._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        _note(file.get())
+    return out
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Cuts lineage through a Parquet table in the shared folder: smaller than a checkpoint, and read by columns."""
     path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    _note(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -1,7 +1,11 @@
+import os
 import random
 
+import pytest
+
 import corpus_pipeline
-from tests.llm.helpers import documents, words
+from reelforge.llm.common import shared_dir
+from tests.llm.helpers import EXTRA, SCHEMA, documents, edge_docs, words
 
 
 def test_stages_in_order(spark, tmp_path):
@@ -32,3 +36,42 @@ def test_stages_in_order(spark, tmp_path):
     assert sum(r["length"] for r in kept["packing"]) > 0
     got = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted((r["doc_id"], r["length"]) for r in got.collect()) == sorted((r["doc_id"], r["length"]) for r in kept["packing"])
+
+
+def test_edge_rows_pass_every_stage(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated rows and columns of clashing names, stage by stage."""
+    edge_docs(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(4, 1, 0), (7, 1, 1), (None, 0, 1), (3, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs, kept = edge_docs(spark), {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        kept[name] = docs.collect()
+        if name != "packing":
+            assert docs.columns == list(corpus_pipeline.COLUMNS)
+    clean = kept["toxicity"]
+    assert {r["doc_id"] for r in clean} >= {None, 1, 2, 3, 4, 5, 6}
+    ids = sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in kept["near_dedup"] if r["doc_id"] != 7)
+    assert ids == [-1, 1, 2, 3, 5, 6] or ids == [-1, 1, 2, 3, 4, 6]  # of the rows 4, 4 and 5 one stays
+    assert len(kept["secrets"]) == len(kept["near_dedup"]) and {r["doc_id"]: r["text"] for r in kept["secrets"]}[1] is None
+    assert {r["doc_id"] for r in kept["mixing"]} <= {r["doc_id"] for r in kept["secrets"]}
+    assert {r["doc_id"] for r in kept["packing"]} == {r["doc_id"] for r in kept["mixing"]}
+
+
+@pytest.mark.parametrize("at", range(5))
+def test_empty_table_in_every_stage(spark, tmp_path, at):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    name, stage = corpus_pipeline.STAGES[at]
+    out = stage(spark, spark.createDataFrame([], f"{SCHEMA}, {EXTRA}"), str(tmp_path))
+    assert out.count() == 0 and (name == "packing" or out.columns == list(corpus_pipeline.COLUMNS))
+
+
+def test_run_leaves_its_result_only(spark, tmp_path):
+    rng = random.Random(3)
+    documents(spark, [(i, words(rng, 30), "a") for i in range(30)]).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, i % 2) for i in range(30)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    base = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    (new,) = set(os.listdir(base)) - before
+    assert os.listdir(f"{base}/{new}") == ["packing"]
