@@ -4,7 +4,12 @@ Every stage takes (spark, docs, sf_dir), works on all rows that its predecessor
 but the last return the columns of documents. Stages are written as Parquet in between, so each is planned on its
 own input and survives the loss of executors.
 
-Defined cases are those of the operators; an empty table of documents gives no sequence.
+run() removes what a stage leaves in the shared folder once the next stage is written.
+
+Defined cases, for every stage: an empty table gives an empty one; null and empty texts stay documents (they are not toxic
+by themselves, linked with nothing, hold no secret and have size 0, which makes their copies a matter of their source's
+rate); very long texts are worked on whole; a null doc_id or source is a value of its own; of repeated rows near_dedup keeps
+one; ties go to the least doc_id; columns other than those of documents, whatever their names, are not carried along.
 """
 
 from __future__ import annotations
@@ -15,35 +20,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelforge.llm import minhash, mixing, packing, secrets, toxicity
-from reelforge.llm.common import crc_of_id, shared_dir, table
+from reelforge.llm.common import crc_of_id, intermediates, remove, shared_dir, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that the classifier scores 0.5 or more; the classifier learns from labels not held out."""
+    """Rejects documents that the classifier scores 0.5 or more; the classifier learns from labels not held out.
+
+    Without labels of both classes no document is rejected unless all labels say so; rows of one doc_id are judged one by one.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_of_id(F.col("doc_id")) % 5 != 0)
     return toxicity.keep_clean(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least doc_id of each group of near copies."""
+    """Keeps the document with the least doc_id of each group of near copies.
+
+    Rows with a null or repeated doc_id are told apart by their texts, so one of equal rows stays; null and empty texts with a doc_id of
+    their own all stay.
+    """
     return minhash.keep_first(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces secrets in texts by a mark; all documents stay."""
+    """Replaces secrets in texts by a mark; all documents stay, null texts as they are, and n_chars is counted anew."""
     return secrets.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats each document as often as its source's rate says, some not at all."""
+    """Repeats each document as often as its source's rate says, some not at all; rows with equal doc_id draw alike."""
     mixed = mixing.mix(docs.select(*COLUMNS)).where("copies > 0")
     return mixed.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_")).drop("_")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs token pieces of all documents into sequences."""
+    """Packs token pieces of all documents into sequences; a copy is packed as a document of its own, an empty text as its end id."""
 
     def encoder():
         import public_tokenizers
@@ -67,8 +79,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies all stages to documents."""
-    docs, base = table(spark, sf_dir, "documents").select(*COLUMNS), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs, base, before = table(spark, sf_dir, "documents").select(*COLUMNS), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}", None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
-        docs = spark.read.parquet(f"{base}/{name}")
+        path = f"{base}/{name}"
+        with intermediates(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -187,3 +187,22 @@ def unaligned_corners(left: tuple[Column, Column], right: tuple[Column, Column],
     apart = distance(*left, *right)
     cx, cy, half = (left[0] + right[0]) / 2, (left[1] + right[1]) / 2 + apart * 0.5, apart * 1.5 * (1 + padding)
     return [(cx - half, cy - half), (cx + half, cy - half), (cx + half, cy + half), (cx - half, cy + half)]
+
+
+def kept_by_keypoints(persons: Column, kind: str, threshold: float = 0.15, least: int = 3) -> Column:
+    """Greedy suppression over persons sorted by falling score: those stay whose keypoints do not lie on a kept one's.
+
+    Persons are structs with height and points (x, y, seen). Two are the same if `least` points or more are seen in both and lie apart,
+    in the mean, by less than a share of the better one's height.
+    """
+
+    def same(better: Column, other: Column) -> Column:
+        both = F.filter(F.arrays_zip(better["points"].alias("a"), other["points"].alias("b")), lambda z: z["a"]["seen"] & z["b"]["seen"])
+        total = F.aggregate(both, F.lit(0.0), lambda s, z: s + distance(z["a"]["x"], z["a"]["y"], z["b"]["x"], z["b"]["y"]))
+        return (F.size(both) >= least) & (total / F.size(both) < threshold * better["height"])
+
+    return F.aggregate(
+        persons,
+        F.expr(f"cast(array() as array<{kind}>)"),
+        lambda kept, p: F.when(F.exists(kept, lambda k: same(k, p)), kept).otherwise(F.concat(kept, F.array(p))),
+    )

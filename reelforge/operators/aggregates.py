@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelforge.sources.tables import reliable
+
 PERCENTS = (10, 50, 90)
 
 
@@ -68,3 +72,27 @@ def transcription_totals(df: DataFrame) -> DataFrame:
 def detection_totals(df: DataFrame, keys: list[str], persons: str, confidence: str) -> DataFrame:
     """n, persons and mean confidence."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(persons).cast("long").alias("persons"), F.round(exact_mean(F.col(confidence)), 4).alias("confidence"))
+
+
+def ranged_percentiles(df: DataFrame, key: str, value: str, shares: Sequence[float]) -> DataFrame:
+    """Exact, linearly interpolated percentiles of few keys with very many rows each: key and an array in the order of shares.
+
+    Rows are dealt by ranges of (key, value), counted range by range, and only those at the ranks that are asked for
+    are looked up, so no key's values are held or sorted in one task. Nulls are left out.
+    """
+    rows = df.select(key, value).where(F.col(value).isNotNull())
+    ranged = reliable(rows.repartitionByRange(key, value).withColumn("_range", F.spark_partition_id()))
+    counts = ranged.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("_n"))  # one row a key and range
+    before = Window.partitionBy(key).orderBy("_range")
+    offsets = counts.select(key, "_range", (F.sum("_n").over(before) - F.col("_n")).alias("_before"), F.sum("_n").over(Window.partitionBy(key)).alias("_all"))
+    asked = F.array(*[F.struct(F.lit(k).alias("k"), ((F.col("_all") - 1) * F.lit(float(s))).alias("at")) for k, s in enumerate(shares)])
+    inner = F.row_number().over(Window.partitionBy("_range", key).orderBy(value)) - 1
+    ranks = ranged.withColumn("_inner", inner).join(F.broadcast(offsets), [key, "_range"]).withColumn("_rank", F.col("_inner") + F.col("_before")).withColumn("_asked", asked)
+    near = ranks.where(F.exists("_asked", lambda a: (F.floor(a["at"]) == F.col("_rank")) | (F.ceil(a["at"]) == F.col("_rank"))))
+    found = near.groupBy(key).agg(F.first("_asked").alias("_asked"), F.map_from_entries(F.collect_list(F.struct("_rank", value))).alias("_at"))  # two rows a share at most
+
+    def point(a: Column) -> Column:
+        low, high = (F.element_at("_at", f(a["at"]).cast("long")) for f in (F.floor, F.ceil))
+        return low + (high - low) * (a["at"] - F.floor(a["at"]))
+
+    return found.select(key, F.transform("_asked", point).alias("percentiles"))

@@ -1,52 +1,16 @@
-"""Kernels that go step by step through a group: smoothing, tracking, hulls, keypoint suppression.
+"""Kernels that go step by step through a group: tracking, assignment, hulls, similarity fits.
 
 They run as grouped Arrow/pandas functions; the group key (video and scene) bounds what a task holds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-
-
-def smoothing_window(fps: float, n: int) -> int:
-    """Odd window of a quarter of a second, at least 5 and at most the number of frames."""
-    w = max(int(0.25 * fps) | 1, 4)
-    w += 1 - w % 2
-    return min(w, n if n % 2 else n - 1)
-
-
-def savgol(y: np.ndarray, window: int, order: int = 2) -> np.ndarray:
-    """Savitzky-Golay: least-squares polynomials in a sliding window, at the edges the window's polynomial."""
-    n, half = len(y), window // 2
-    if window <= order or n < window:
-        return y.astype(float)
-    x = np.arange(-half, half + 1)
-    fit = np.linalg.pinv(np.vander(x, order + 1, increasing=True))  # coefficients from values
-    out = np.convolve(y, fit[0][::-1], "same").astype(float)
-    for at, target in ((y[:window], range(half)), (y[-window:], range(n - half, n))):
-        coef = fit @ at
-        base = 0 if target[0] == 0 else n - window
-        for i in target:
-            out[i] = np.polyval(coef[::-1], i - base - half)
-    return out
-
-
-def smooth(df: DataFrame, keys: list[str], order: str, values: list[str], fps: float, least: int = 5) -> DataFrame:
-    """Smooths columns within a key; keys with fewer than `least` rows stay as they are."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        if len(pdf) >= least:
-            w = smoothing_window(fps, len(pdf))
-            for c in values:
-                pdf[c] = np.round(savgol(pdf[c].to_numpy(float), w), 1)
-        return pdf
-
-    return df.groupBy(*keys).applyInPandas(run, df.schema)
+from pyspark.sql import functions as F
 
 
 def convex_hull(points: np.ndarray) -> np.ndarray:
@@ -67,14 +31,60 @@ def convex_hull(points: np.ndarray) -> np.ndarray:
 
 
 def hulls(df: DataFrame, keys: list[str], x: str, y: str, schema: str) -> DataFrame:
-    """Per key the hull's size and area."""
+    """Per key the hull's size and area. Tasks first reduce what they read to hulls, whose points alone are dealt by key."""
+    rows = df.select(*keys, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).where(F.col(x).isNotNull() & F.col(y).isNotNull())
+
+    def reduced(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for key, group in pdf.groupby(keys, dropna=False):
+                p = np.unique(group[[x, y]].to_numpy(float), axis=0)
+                out = pd.DataFrame(h if len(h := convex_hull(p)) > 2 else p, columns=[x, y])
+                for k, v in zip(keys, key, strict=True):
+                    out.insert(0, k, v)
+                yield out[[*keys, x, y]]
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         h = convex_hull(pdf[[x, y]].to_numpy(float))
         a = 0.5 * abs(float(np.dot(h[:, 0], np.roll(h[:, 1], -1)) - np.dot(h[:, 1], np.roll(h[:, 0], -1)))) if len(h) else 0.0
         return pd.DataFrame([(*key, len(h), a)], columns=[*keys, "n_hull", "area"])
 
-    return df.groupBy(*keys).applyInPandas(run, schema)
+    return rows.mapInPandas(reduced, rows.schema).groupBy(*keys).applyInPandas(run, schema)
+
+
+def assigned(cost: np.ndarray, limit: float) -> list[tuple[int, int]]:
+    """The assignment of rows to columns of least cost, where leaving a row or a column alone costs half the limit.
+
+    So a pair is taken only below the limit. Shortest augmenting paths over the square matrix that has a partner of its own for
+    every row and column.
+    """
+    n, m = cost.shape
+    size = n + m
+    full = np.full((size, size), limit / 2)
+    full[:n, :m], full[n:, m:] = cost, 0.0
+    u, v = np.zeros(size + 1), np.zeros(size + 1)  # prices of rows and columns
+    row_of = np.zeros(size + 1, int)  # row that a column has, 0 for none; both count from 1
+    for i in range(1, size + 1):
+        row_of[0], j = i, 0
+        slack, came, used = np.full(size + 1, np.inf), np.zeros(size + 1, int), np.zeros(size + 1, bool)
+        while True:
+            used[j] = True
+            r = row_of[j]
+            reduced = full[r - 1] - u[r] - v[1:]
+            better = ~used[1:] & (reduced < slack[1:])
+            slack[1:][better] = reduced[better]
+            came[1:][better] = j
+            free = np.flatnonzero(~used[1:]) + 1
+            to = free[slack[free].argmin()]
+            step = slack[to]
+            u[row_of[used]] += step
+            v[used] -= step
+            slack[~used] -= step
+            j = to
+            if row_of[j] == 0:
+                break
+        while j:
+            row_of[j], j = row_of[came[j]], came[j]
+    return sorted((int(row_of[j]) - 1, j - 1) for j in range(1, m + 1) if 0 < row_of[j] <= n and cost[row_of[j] - 1, j - 1] < limit)
 
 
 def iou_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -128,13 +138,10 @@ class Tracker:
                 to = np.array([self._measured(boxes[j])[:2] for j in free]) - self._measured(t["last"])[:2]
                 n = np.linalg.norm(to, axis=1)
                 score[i] += self.inertia * (to @ t["velocity"]) / np.where(n > 0, n, 1)
-        pairs, used = [], set()
-        for flat in np.argsort(-score, axis=None, kind="stable"):
-            i, j = divmod(int(flat), len(free))
-            if ok[i, j] and ("t", i) not in used and ("d", j) not in used:
-                used |= {("t", i), ("d", j)}
-                pairs.append((tracks[i], free[j]))
-        return pairs
+        # a pair that does not overlap enough costs the limit and more, so it is never taken
+        most = 1 - self.min_iou + self.inertia + 1e-9
+        cost = np.where(ok, np.minimum(1 - score, most - 1e-9), most + 1)
+        return [(tracks[i], free[j]) for i, j in assigned(cost, most)]
 
     def step(self, frame: int, boxes: np.ndarray) -> list[tuple[int, int]]:
         """(number of box, track) of tracks that are old enough to be shown."""
@@ -184,19 +191,6 @@ def track(df: DataFrame, keys: list[str], frame: str, box: list[str], make: Call
     return df.groupBy(*keys).applyInPandas(run, f"{', '.join(f'{x.name} {x.dataType.simpleString()}' for x in df.schema.fields)}, track_id long")
 
 
-def suppress_by_keypoints(points: np.ndarray, scores: np.ndarray, seen: np.ndarray, heights: np.ndarray, threshold: float = 0.15) -> np.ndarray:
-    """Rows that stay: of two persons whose co-visible keypoints lie close, relative to the better one's height, the worse goes."""
-    order, keep = np.argsort(-scores, kind="stable"), np.ones(len(scores), bool)
-    for a, i in enumerate(order):
-        if not keep[i]:
-            continue
-        for j in order[a + 1 :]:
-            both = seen[i] & seen[j]
-            if keep[j] and both.sum() >= 3 and np.linalg.norm(points[i][both] - points[j][both], axis=1).mean() < threshold * heights[i]:
-                keep[j] = False
-    return keep
-
-
 def similarity_fit(src: np.ndarray, dst: np.ndarray) -> np.ndarray:
     """Least-squares similarity transform (2 x 3) from points to points."""
     ms, md = src.mean(0), dst.mean(0)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,13 +64,71 @@ def stride_sample(df: DataFrame, keys: list[str], order: list[str], stride: int,
 
 
 def accepted_cuts(df: DataFrame, keys: list[str], at: str, signal: Column, cooldown: int) -> DataFrame:
-    """Cut signals that come at least cooldown after the last accepted one; a fold over each key's signals."""
-    hits = df.where(signal).groupBy(*keys).agg(F.array_sort(F.collect_list(F.col(at).cast("long"))).alias("_at"))
+    """Cut signals that come at least cooldown after the last accepted one.
+
+    A signal that comes that long after the signal before it is accepted for certain, so a key's signals are first parted there; only
+    what stands closer together is folded, in one array a part.
+    """
+    hits = islands(df.where(signal).select(*keys, F.col(at).cast("long").alias(at)), keys, [at], gap_before(keys, [at], at) >= cooldown, "_part")
+    parts = hits.groupBy(*keys, "_part").agg(F.array_sort(F.collect_list(at)).alias("_at"))
     fold = F.aggregate(
-        "_at", F.expr("cast(array() as array<bigint>)"),
-        lambda kept, x: F.when((F.size(kept) == 0) | (x - F.coalesce(F.try_element_at(kept, F.lit(-1)), x - cooldown) >= cooldown), F.concat(kept, F.array(x))).otherwise(kept),
-    )
-    return hits.select(*keys, F.explode(fold).alias(at))
+        "_at", F.struct(F.lit(None).cast("bigint").alias("last"), F.expr("cast(array() as array<bigint>)").alias("kept")),
+        lambda s, x: F.when(s["last"].isNull() | (x - s["last"] >= cooldown), F.struct(x.alias("last"), F.concat(s["kept"], F.array(x)).alias("kept"))).otherwise(s),
+        lambda s: s["kept"],
+    )
+    return parts.select(*keys, F.explode(fold).alias(at))
+
+
+def smoothing_window(fps: float, n: int) -> int:
+    """Odd window of a quarter of a second, at least 5 and at most the number of frames."""
+    w = max(int(0.25 * fps) | 1, 4)
+    w += 1 - w % 2
+    return min(w, n if n % 2 else n - 1)
+
+
+def smoothing_weights(fps: float, widest: int | None = None, least: int = 5, order: int = 2) -> dict[tuple[int, int | None], list[tuple[int, float]]]:
+    """Savitzky-Golay weights: by (rows of the series, place in it) the (offset, weight) of the values that make the smoothed one.
+
+    A place counts from 0 at the beginning and from -1 backwards at the end, where the outermost window's polynomial holds; None is any
+    other. A series of the widest window or more has the same weights whatever its length.
+    """
+    widest = widest or smoothing_window(fps, 1 << 30)
+    out: dict[tuple[int, int | None], list[tuple[int, float]]] = {}
+    for n in range(least, widest + 1):
+        w = smoothing_window(fps, n)
+        half, x = w // 2, np.arange(w) - w // 2
+        powers = np.vander(x, order + 1, increasing=True).astype(float)
+        fit = powers @ np.linalg.pinv(powers)  # the smoothed values of a window from its values
+        for i in range(half):
+            out[n, i] = [(j - i, float(fit[i, j])) for j in range(w)]
+            out[n, -1 - i] = [(j - (w - 1 - i), float(fit[w - 1 - i, j])) for j in range(w)]
+        out[n, None] = [(j - half, float(fit[half, j])) for j in range(w)]
+    return out
+
+
+def smooth(df: DataFrame, keys: list[str], order: str, values: list[str], fps: float, least: int = 5) -> DataFrame:
+    """Smooths columns within a key to one decimal, as fixed sums over neighbouring rows; keys with fewer than `least` rows stay as they are."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    weights = smoothing_weights(fps, least=least)
+    widest = max(n for n, _ in weights)
+    rows = df.withColumns({"_i": F.row_number().over(w) - 1, "_n": F.count(F.lit(1)).over(Window.partitionBy(*keys))})
+
+    def sums(c: str, terms: list[tuple[int, float]]) -> Column:
+        total = None
+        for o, weight in terms:
+            v = F.lit(weight) * (F.col(c) if o == 0 else F.lag(c, -o).over(w) if o < 0 else F.lead(c, o).over(w))
+            total = v if total is None else total + v
+        return F.floor(total * 10 + 0.5) / 10
+
+    for c in values:
+        out = F.when(F.col("_n") < least, F.col(c).cast("double"))
+        for (n, i), terms in weights.items():
+            here = F.col("_n") >= n if n == widest else F.col("_n") == n
+            if i is not None:
+                here = here & (F.col("_i") == i if i >= 0 else F.col("_n") - F.col("_i") == -i)
+            out = out.when(here, sums(c, terms))
+        rows = rows.withColumn(f"_{c}", out)
+    return rows.select(*[F.col(f"_{c}").alias(c) if c in values else F.col(c) for c in df.columns])
 
 
 def renumbered(df: DataFrame, keys: list[str], order: list[str], out: str = "frame") -> DataFrame:

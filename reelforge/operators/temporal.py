@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,21 +20,17 @@ def nearest(probe: DataFrame, frames: DataFrame, keys: list[str], at: str, reach
     return best.select(*keys, probe_id, "_b.*")
 
 
-def point_in_interval(points: DataFrame, intervals: DataFrame, keys: list[str], at: str, start: str, end: str) -> DataFrame:
-    """Pairs with start <= at < end, by keys alone: for keys with few intervals."""
-    return points.join(intervals, keys).where((F.col(start) <= F.col(at)) & (F.col(at) < F.col(end)))
-
-
 def point_in_interval_bucketed(points: DataFrame, intervals: DataFrame, keys: list[str], at: str, start: str, end: str, width: int) -> DataFrame:
-    """The same over buckets of a width, so a key with very many intervals is dealt out too."""
+    """Pairs with start <= at < end, over buckets of a width: an equi-join, and a key with very many intervals is dealt out."""
     p = points.withColumn("_bucket", F.floor(F.col(at) / width))
     i = intervals.where(F.col(end) > F.col(start)).withColumn("_bucket", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor((F.col(end) - 1) / width))))
     return p.join(i, [*keys, "_bucket"]).where((F.col(start) <= F.col(at)) & (F.col(at) < F.col(end))).drop("_bucket")
 
 
 def first_match(pairs: DataFrame, keys: list[str], start: str) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(start)
-    return pairs.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """Of each key's pairs the one that starts first."""
+    best = F.min_by(F.struct(*[c for c in pairs.columns if c not in keys]), start)
+    return pairs.groupBy(*keys).agg(best.alias("_b")).select(*keys, "_b.*")
 
 
 def sessions(df: DataFrame, keys: list[str], at: str, gap: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from reelforge.functions import geometry as geo
 from reelforge.functions import scores
 from reelforge.operators import aggregates as agg
-from reelforge.operators import kernels
+from reelforge.operators import kernels, sequence
 from reelforge.plans.registry import query
 from reelforge.sources.tables import table
 
@@ -54,9 +54,11 @@ def overlap_flag(spark, d):
     """Whether any other box of the frame overlaps more; a frame's boxes travel as one array, no self-join."""
     box = F.struct("k", "x1", "y1", "x2", "y2")
     frames = _numbered(spark, d).groupBy("l_orderkey").agg(F.collect_list(box).alias("boxes"))
-    one = frames.select("l_orderkey", "boxes", F.explode("boxes").alias("b"))
-    hit = F.exists("boxes", lambda o: (o["k"] != F.col("b.k")) & (geo.iou(geo.box_fields(o), geo.box_fields(F.col("b"))) > 0.3))
-    return one.select("l_orderkey", F.col("b.k").alias("k"), hit.alias("overlaps"))
+
+    def flagged(b):
+        return F.struct(b["k"].alias("k"), F.exists("boxes", lambda o: (o["k"] != b["k"]) & (geo.iou(geo.box_fields(o), geo.box_fields(b)) > 0.3)).alias("overlaps"))
+
+    return frames.select("l_orderkey", F.explode(F.transform("boxes", flagged)).alias("f")).select("l_orderkey", "f.k", "f.overlaps")
 
 
 @query(f"""
@@ -67,7 +69,18 @@ def best_detection(spark, d):
     return agg.best_detection(_boxes(spark, d), ["l_orderkey"], F.col("score"), at, F.col("l_partkey"), F.col("score"))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {_BOX}, n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, x2, score) AS k FROM b),
+o AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY score DESC, k) AS place FROM n),
+r AS (
+  SELECT l_orderkey, 1 AS place, [{{k: k, x1: x1, y1: y1, x2: x2, y2: y2}}] AS kept FROM o WHERE place = 1
+  UNION ALL
+  SELECT r.l_orderkey, o.place, CASE WHEN len(list_filter(r.kept, lambda q:
+      greatest(least(q.x2, o.x2) - greatest(q.x1, o.x1), 0) * greatest(least(q.y2, o.y2) - greatest(q.y1, o.y1), 0)
+      > 0.3 * ((q.x2 - q.x1) * (q.y2 - q.y1) + (o.x2 - o.x1) * (o.y2 - o.y1) - greatest(least(q.x2, o.x2) - greatest(q.x1, o.x1), 0) * greatest(least(q.y2, o.y2) - greatest(q.y1, o.y1), 0)))) > 0
+    THEN r.kept ELSE list_append(r.kept, {{k: o.k, x1: o.x1, y1: o.y1, x2: o.x2, y2: o.y2}}) END
+  FROM r JOIN o ON o.l_orderkey = r.l_orderkey AND o.place = r.place + 1)
+SELECT l_orderkey, unnest(kept).k AS k FROM (SELECT l_orderkey, arg_max(kept, place) AS kept FROM r GROUP BY l_orderkey)""")
 def nms_greedy(spark, d):
     """Greedy suppression per frame as a fold over boxes by falling score."""
     kind = "struct<neg:double,k:bigint,x1:double,y1:double,x2:double,y2:double>"
@@ -168,39 +181,63 @@ def occlusion_share(spark, d):
     return table(spark, d, "embeddings").select("vec_id", scores.occlusion_quality(F.col("embedding").cast("array<double>")).alias("occlusion"))
 
 
-@query()
-def keypoint_duplicate_suppression(spark, d):
-    """Persons of a frame with nearly the same keypoints: the better one stays."""
-    import numpy as np
-    import pandas as pd
-
-    rows = table(spark, d, "embeddings").select((F.col("vec_id") % 100).alias("frame"), "vec_id", F.slice("embedding", 1, 20).cast("array<double>").alias("e"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id").reset_index(drop=True)
-        e = np.array(pdf["e"].tolist())
-        keep = kernels.suppress_by_keypoints(e[:, :16].reshape(len(e), 8, 2), e[:, 16], np.ones((len(e), 8), bool), np.full(len(e), 1.0))
-        return pdf.loc[keep, ["frame", "vec_id"]]
-
-    return rows.groupBy("frame").applyInPandas(run, "frame long, vec_id long")
+_NEAR = " + ".join(f"sqrt((q.e[{2 * k + 1}] - o.e[{2 * k + 1}]) * (q.e[{2 * k + 1}] - o.e[{2 * k + 1}]) + (q.e[{2 * k + 2}] - o.e[{2 * k + 2}]) * (q.e[{2 * k + 2}] - o.e[{2 * k + 2}]))" for k in range(8))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE p AS (SELECT vec_id // 5 AS frame, vec_id, embedding[1:20]::DOUBLE[] AS e, row_number() OVER (PARTITION BY vec_id // 5 ORDER BY embedding[17] DESC, vec_id) AS place FROM embeddings),
+r AS (
+  SELECT frame, 1 AS place, [{{v: vec_id, e: e}}] AS kept FROM p WHERE place = 1
+  UNION ALL
+  SELECT r.frame, o.place, CASE WHEN len(list_filter(r.kept, lambda q: ({_NEAR}) / 8 < 0.15 * 2)) > 0 THEN r.kept ELSE list_append(r.kept, {{v: o.vec_id, e: o.e}}) END
+  FROM r JOIN p o ON o.frame = r.frame AND o.place = r.place + 1)
+SELECT frame, unnest(kept).v AS vec_id FROM (SELECT frame, arg_max(kept, place) AS kept FROM r GROUP BY frame)""")
+def keypoint_duplicate_suppression(spark, d):
+    """Persons of a frame with nearly the same keypoints: the better one stays."""
+    e = F.slice("embedding", 1, 20).cast("array<double>")
+    points = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.struct(F.element_at("e", (2 * k + 1).cast("int")).alias("x"), F.element_at("e", (2 * k + 2).cast("int")).alias("y"), F.lit(True).alias("seen")))
+    rows = table(spark, d, "embeddings").select(F.floor(F.col("vec_id") / 5).alias("frame"), "vec_id", e.alias("e")).withColumn("points", points)
+    person = F.struct((-F.col("e")[16]).alias("neg"), "vec_id", F.lit(2.0).alias("height"), "points")
+    frames = rows.groupBy("frame").agg(F.array_sort(F.collect_list(person)).alias("persons"))  # a frame holds few persons
+    kept = geo.kept_by_keypoints(F.col("persons"), frames.schema["persons"].dataType.elementType.simpleString())
+    return frames.select("frame", F.explode(kept).alias("p")).select("frame", "p.vec_id")
+
+
+def _smoothed_sql() -> str:
+    """The weights as SQL says them: values before and after the row, by the row's place in its series."""
+    cases = []
+    for (n, i), weights in sequence.smoothing_weights(30, 7).items():
+        terms = " + ".join(f"{w!r} * {'y' if o == 0 else f'lag(y, {-o}) OVER w' if o < 0 else f'lead(y, {o}) OVER w'}" for o, w in weights)
+        place = "" if i is None else f" AND {'i = ' + str(i) if i >= 0 else 'n - i = ' + str(-i)}"
+        cases.append(f"WHEN {'n >= 7' if n == 7 else f'n = {n}'}{place} THEN floor(({terms}) * 10 + 0.5) / 10")
+    return f"""SELECT user_id, event_id, CASE WHEN n < 5 THEN y {' '.join(cases)} END AS value FROM (
+  SELECT user_id, event_id, value AS y, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY event_id)"""
+
+
+@query(_smoothed_sql())
 def savgol_smooth(spark, d):
     """Values of a user smoothed over time."""
     rows = table(spark, d, "events").select("user_id", "event_id", "value")
-    return kernels.smooth(rows, ["user_id"], "event_id", ["value"], fps=30)
+    return sequence.smooth(rows, ["user_id"], "event_id", ["value"], fps=30)
 
 
 @query()
 def ocsort_tracks(spark, d):
     """Boxes of a scene followed over frames."""
-    b = _boxes(spark, d).select((F.col("l_orderkey") % 64).alias("scene"), F.floor(F.col("l_orderkey") / 64).alias("frame"), "x1", "y1", "x2", "y2")
+    b = _boxes(spark, d).select(F.floor(F.col("l_orderkey") / 256).alias("scene"), (F.col("l_orderkey") % 256).cast("long").alias("frame"), "x1", "y1", "x2", "y2")
     return kernels.track(b, ["scene"], "frame", ["x1", "y1", "x2", "y2"], lambda: kernels.Tracker(max_lost=5))
 
 
-@query()
+@query(f"""
+WITH {_BOX}, p AS (SELECT DISTINCT l_orderkey // 256 AS s, x1 AS x, y1 AS y FROM b), c AS (SELECT s, x, min(y) AS lo, max(y) AS hi FROM p GROUP BY s, x),
+low AS (SELECT s, x, lo AS y FROM c WHERE NOT EXISTS (SELECT 1 FROM c a, c z WHERE a.s = c.s AND z.s = c.s AND a.x < c.x AND z.x > c.x AND (c.lo - a.lo) * (z.x - a.x) >= (z.lo - a.lo) * (c.x - a.x))),
+top AS (SELECT s, x, hi AS y FROM c WHERE NOT EXISTS (SELECT 1 FROM c a, c z WHERE a.s = c.s AND z.s = c.s AND a.x < c.x AND z.x > c.x AND (c.hi - a.hi) * (z.x - a.x) <= (z.hi - a.hi) * (c.x - a.x))),
+h AS (SELECT s, count(*) AS n FROM (SELECT * FROM low UNION SELECT * FROM top) GROUP BY s),
+area AS (SELECT s, sum((x - px) * (y + py) / 2) AS t FROM (
+  SELECT s, x, y, lag(x) OVER (PARTITION BY s ORDER BY x) AS px, lag(y) OVER (PARTITION BY s ORDER BY x) AS py FROM top
+  UNION ALL SELECT s, x, -y, lag(x) OVER (PARTITION BY s ORDER BY x), -lag(y) OVER (PARTITION BY s ORDER BY x) FROM low) GROUP BY s)
+SELECT s AS scene, CASE WHEN k < 3 THEN 0 ELSE n END AS n_hull, CASE WHEN k < 3 THEN 0.0 ELSE coalesce(t, 0.0) END AS area FROM h JOIN area USING (s) JOIN (SELECT s, count(*) AS k FROM p GROUP BY s) USING (s)""")
 def convex_hull(spark, d):
     """Hull of each scene's points."""
-    pts = _boxes(spark, d).select((F.col("l_orderkey") % 256).alias("scene"), "x1", "y1")
+    pts = _boxes(spark, d).select(F.floor(F.col("l_orderkey") / 256).alias("scene"), "x1", "y1")
     return kernels.hulls(pts, ["scene"], "x1", "y1", "scene long, n_hull long, area double")

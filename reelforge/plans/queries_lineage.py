@@ -106,16 +106,16 @@ def lineage_fanout_down(spark, d):
 
 
 @query("""
-WITH p AS (SELECT event_id, user_id, floor(epoch_us(ts) / 60000000)::BIGINT AS f FROM events WHERE event_type = 'click'),
-k AS (SELECT event_id AS frame, user_id, floor(epoch_us(ts) / 60000000)::BIGINT AS f FROM events WHERE event_type = 'view')
+WITH p AS (SELECT event_id, user_id, floor(epoch_us(ts) / 3600000000)::BIGINT AS f FROM events WHERE event_type = 'click'),
+k AS (SELECT event_id AS frame, user_id, floor(epoch_us(ts) / 3600000000)::BIGINT AS f FROM events WHERE event_type = 'view')
 SELECT user_id, event_id, frame, frame_at FROM (
   SELECT p.user_id, p.event_id, k.frame, k.f AS frame_at, row_number() OVER (PARTITION BY p.event_id ORDER BY abs(k.f - p.f), k.f, k.frame) AS rn
-  FROM p JOIN k ON p.user_id = k.user_id AND abs(k.f - p.f) <= 60) WHERE rn = 1""")
+  FROM p JOIN k ON p.user_id = k.user_id AND abs(k.f - p.f) <= 1) WHERE rn = 1""")
 def nearest_frame(spark, d):
-    events = table(spark, d, "events").select("event_id", "user_id", "event_type", F.floor(times.epoch_micros("ts") / 60_000_000).alias("at"))
+    events = table(spark, d, "events").select("event_id", "user_id", "event_type", F.floor(times.epoch_micros("ts") / 3_600_000_000).alias("at"))
     probe = events.where("event_type = 'click'").drop("event_type")
     frames = events.where("event_type = 'view'").select("user_id", "at", F.col("event_id").alias("frame"))
-    return temporal.nearest(probe, frames, ["user_id"], "at", 60, "event_id", "frame")
+    return temporal.nearest(probe, frames, ["user_id"], "at", 1, "event_id", "frame")
 
 
 _TURNS = """
@@ -137,7 +137,7 @@ def _captions(spark, d):
 @query(f"""WITH {_TURNS} SELECT q.conv_id, probe, "at", turn FROM q JOIN i ON q.conv_id = i.conv_id AND a <= "at" AND "at" < b""")
 def subtitle_at_time(spark, d):
     points, spans = _captions(spark, d)
-    return temporal.first_match(temporal.point_in_interval(points, spans, ["conv_id"], "at", "start", "end"), ["conv_id", "probe"], "start").select("conv_id", "probe", "at", "turn")
+    return temporal.first_match(temporal.point_in_interval_bucketed(points, spans, ["conv_id"], "at", "start", "end", 2000), ["conv_id", "probe"], "start").select("conv_id", "probe", "at", "turn")
 
 
 @query(f"""WITH {_TURNS} SELECT q.conv_id, probe, "at", turn FROM q JOIN i ON q.conv_id = i.conv_id AND a <= "at" AND "at" < b""")

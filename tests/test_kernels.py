@@ -8,11 +8,39 @@ from reelforge.functions import scores, text, times
 from reelforge.operators import kernels, sequence
 
 
-def test_savgol_keeps_polynomials():
-    x = np.arange(20.0)
-    y = 3 + 2 * x - 0.5 * x * x
-    assert np.allclose(kernels.savgol(y, 7), y)
-    assert kernels.smoothing_window(30, 100) == 7 and kernels.smoothing_window(2, 100) == 5 and kernels.smoothing_window(100, 8) == 7
+def test_smoothing_keeps_polynomials(spark):
+    """A parabola stays as it is, edges too; other values are those of least-squares fits in the windows."""
+    rng = np.random.default_rng(4)
+    rows, expected = [], {}
+    for key, n in enumerate((3, 5, 6, 7, 8, 20, 40)):
+        x = np.arange(n)
+        y = 3 + 2 * x - 0.5 * x * x if key == 5 else rng.uniform(0, 100, n)
+        rows += [(key, int(i), float(v)) for i, v in zip(x, y)]
+        w = sequence.smoothing_window(30, n)
+        for i in range(n):
+            lo = min(max(i - w // 2, 0), n - w)
+            fit = np.polynomial.Polynomial.fit(np.arange(lo, lo + w), y[lo : lo + w], 2) if n >= 5 else None
+            expected[key, i] = float(fit(i)) if fit else float(y[i])
+    got = {(r["k"], r["i"]): r["v"] for r in sequence.smooth(spark.createDataFrame(rows, "k long, i long, v double"), ["k"], "i", ["v"], fps=30).collect()}
+    assert all(abs(got[k] - v) <= 0.0501 for k, v in expected.items())
+    assert sequence.smoothing_window(30, 100) == 7 and sequence.smoothing_window(2, 100) == 5 and sequence.smoothing_window(100, 8) == 7
+
+
+def test_assignment_against_all_ways():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        n, m = rng.integers(1, 5, 2)
+        cost, limit = rng.uniform(0, 1, (n, m)).round(2), 0.7
+        pairs = kernels.assigned(cost, limit)
+        assert all(cost[i, j] < limit for i, j in pairs) and len({i for i, _ in pairs}) == len({j for _, j in pairs}) == len(pairs)
+
+        def best(i, free):
+            if i == n:
+                return len(free) * limit / 2
+            return min([limit / 2 + best(i + 1, free)] + [cost[i, j] + best(i + 1, free - {j}) for j in free])
+
+        took = sum(cost[i, j] for i, j in pairs) + (n + m - 2 * len(pairs)) * limit / 2
+        assert abs(took - best(0, frozenset(range(m)))) < 1e-9
 
 
 @settings(max_examples=60, deadline=None)
@@ -47,12 +75,14 @@ def test_similarity_fit_recovers_a_transform():
     assert np.allclose(kernels.similarity_fit(p, p @ m[:, :2].T + m[:, 2]), m)
 
 
-def test_keypoint_suppression_keeps_the_better():
-    pts = np.zeros((3, 4, 2))
-    pts[1] += 0.01
-    pts[2] += 50
-    keep = kernels.suppress_by_keypoints(pts, np.array([0.5, 0.9, 0.1]), np.ones((3, 4), bool), np.array([10.0, 10, 10]))
-    assert keep.tolist() == [False, True, True]
+def test_keypoint_suppression_keeps_the_better(spark):
+    def person(neg, i, at, seen=(True,) * 4):
+        return (neg, i, 10.0, [(float(at), float(at), s) for s in seen])
+
+    rows = [([person(-0.9, 1, 0.01), person(-0.5, 0, 0.0), person(-0.4, 3, 0.0, (True, True, False, False)), person(-0.1, 2, 50.0)],)]
+    kind = "struct<neg:double,i:bigint,height:double,points:array<struct<x:double,y:double,seen:boolean>>>"
+    kept = spark.createDataFrame(rows, f"persons array<{kind}>").select(geo.kept_by_keypoints(F.col("persons"), kind).alias("k")).first()["k"]
+    assert [p["i"] for p in kept] == [1, 3, 2]
 
 
 def test_nms_leaves_no_overlap(spark):
