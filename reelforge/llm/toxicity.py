@@ -270,7 +270,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The rows whose text scores under the threshold, with the columns of documents and nothing else."""
+    """The rows whose text scores under the threshold, with the columns of documents and nothing else.
+
+    A model without weights tells no text from another, so it rejects none.
+    """
+    if not model.weights:
+        return docs.select("doc_id", "text", "lang", "source", "n_chars")
     d = docs.select("doc_id", "lang", "source", "n_chars", "text", F.col("text").alias("_scored"))
     names = ["doc_id", "lang", "source", "n_chars", "text"]
     kinds = {f.name: f.dataType.simpleString() for f in d.schema.fields}
