@@ -4,9 +4,10 @@ Tokens (words) are summed per source, each source gets a repetition rate target
 is emitted floor(rate) times plus one more time with probability rate - floor(rate), drawn from a hash of
 its id, so a rerun takes the same copies wherever its rows lie.
 
-Defined cases: a null text has size 0; a null source is one source, ordered last; a null doc_id draws as the
-text 'null'; rows with equal ids draw alike; without any word all targets are 0; an empty table gives no row;
-columns of the input other than doc_id, text and source are never read.
+Defined cases: a null or empty text has size 0; words of very long texts are all counted; a null source is one source, ordered
+last; sources with equal needs are taken by code point; a null doc_id draws as the text 'null'; repeated rows and rows with equal ids
+draw alike; without any word all targets are 0; an empty table gives no row; columns of the input other than doc_id, text and
+source are never read.
 """
 
 from __future__ import annotations

@@ -5,9 +5,10 @@ all labelled rows, and the driver only sees one row per class. Covariances are s
 and towards the pooled one; a score is the logistic of the difference of the two Mahalanobis log densities,
 evaluated through Cholesky factors that are made once.
 
-Defined cases: a null or empty text has statistics of its own (all zero) and gets a score; several labels of one doc_id count
-once each; with less than two rows of a class every score is the base rate, 1 for none; an empty table gives no
-row; other columns are not read.
+Defined cases: a null or empty text has statistics of its own (all zero) and gets a score; very long texts are measured whole;
+several labels of one doc_id count once each; repeated rows are scored, and learnt from, as rows of their own; scores rank nothing
+here, so equal ones need no rule; with less than two rows of a class every score is the base rate, 1 for none; an empty table gives
+no row; other columns are not read.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -92,11 +94,22 @@ class Model:
         if not len(self.means):
             return np.full(len(x), self.prior)
         out = []
-        for mean, low in zip(self.means, self.factors, strict=True):
-            z = np.linalg.solve(low, (x - mean).T)
+        for mean, low, inverse in zip(self.means, self.factors, self._inverses, strict=True):
+            z = inverse @ (x - mean).T
             out.append(-0.5 * (z * z).sum(0) - np.log(np.diag(low)).sum())
         return out[1] - out[0] + self.prior
 
+    @cached_property
+    def _inverses(self) -> list[np.ndarray]:
+        """Inverses of the triangular factors by forward substitution, made once for all batches."""
+        out = []
+        for low in self.factors:
+            inverse = np.eye(len(low))
+            for i in range(len(low)):
+                inverse[i] = (inverse[i] - low[i, :i] @ inverse[:i]) / low[i, i]
+            out.append(inverse)
+        return out
+
 
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     d = len(STATISTICS)
