@@ -28,7 +28,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that the classifier scores 0.5 or more; the classifier learns from labels not held out.
 
-    Without labels of both classes no document is rejected unless all labels say so; rows of one doc_id are judged one by one.
+    Where the labels tell no text from another (too few, or of one class) no document is rejected; rows of one doc_id are judged
+    one by one.
     """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_of_id(F.col("doc_id")) % 5 != 0)
     return toxicity.keep_clean(docs, model)
