@@ -228,6 +228,22 @@ def ocsort_tracks(spark, d):
     return kernels.track(b, ["scene"], "frame", ["x1", "y1", "x2", "y2"], lambda: kernels.Tracker(max_lost=5))
 
 
+@query()
+def streamed_tracks(spark, d):
+    """The same over a stream of files in two runs, the second one going on from the state of the first."""
+    from reelforge.sources.tables import scratch
+    from reelforge.streaming import segments, tracks
+
+    b = _boxes(spark, d).select(F.floor(F.col("l_orderkey") / 256).alias("scene"), (F.col("l_orderkey") % 256).cast("long").alias("frame"), "x1", "y1", "x2", "y2")
+    base = scratch(spark, "tracks")
+    for part in (b.where("frame < 128"), b.where("frame >= 128")):
+        part.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(b.schema).parquet(f"{base}/in")
+        followed = tracks.stream_tracks(stream, "scene", "frame", ["x1", "y1", "x2", "y2"], lambda: kernels.Tracker(max_lost=5))
+        segments.run_available(followed, f"{base}/out", f"{base}/state")
+    return spark.read.schema("scene long, frame long, x1 double, y1 double, x2 double, y2 double, track_id long").parquet(f"{base}/out")
+
+
 @query(f"""
 WITH {_BOX}, p AS (SELECT DISTINCT l_orderkey // 256 AS s, x1 AS x, y1 AS y FROM b), c AS (SELECT s, x, min(y) AS lo, max(y) AS hi FROM p GROUP BY s, x),
 low AS (SELECT s, x, lo AS y FROM c WHERE NOT EXISTS (SELECT 1 FROM c a, c z WHERE a.s = c.s AND z.s = c.s AND a.x < c.x AND z.x > c.x AND (c.lo - a.lo) * (z.x - a.x) >= (z.lo - a.lo) * (c.x - a.x))),

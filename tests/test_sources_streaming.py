@@ -3,10 +3,10 @@ import json
 import pandas as pd
 from pyspark.sql import functions as F
 
-from reelforge.operators import gates, lineage, topk
+from reelforge.operators import gates, kernels, lineage, topk
 from reelforge.plans import scorers, stages
 from reelforge.sources import tables as src
-from reelforge.streaming import segments
+from reelforge.streaming import segments, tracks
 
 
 def test_logs_and_sidecars(spark, tmp_path):
@@ -113,3 +113,22 @@ def test_stateful_segments_resume(spark, tmp_path):
     frames("b", [(1, 35), (2, 59), (1, 59)])
     second = run()
     assert (1, 30, 2) in second and (2, 1, 1) in second and len([r for r in second if r == (1, 0, 2)]) == 1
+
+
+def test_streamed_tracks_are_those_of_the_batch(spark, tmp_path):
+    """Two runs over a stream, the second one going on from the state of the first, against all frames at once."""
+    rows = [(scene, f, float(10 + 3 * f + 100 * k), 20.0, float(40 + 3 * f + 100 * k), 80.0) for scene in (1, 2) for f in range(20) for k in range(scene) if (f, k) not in ((7, 0), (12, 1))]
+    schema = "scene long, frame long, x1 double, y1 double, x2 double, y2 double"
+    box = ["x1", "y1", "x2", "y2"]
+
+    def run():
+        stream = segments.read_frames(spark, str(tmp_path / "in"), schema)
+        segments.run_available(tracks.stream_tracks(stream, "scene", "frame", box), str(tmp_path / "out"), str(tmp_path / "state"))
+        return spark.read.schema(f"{schema}, track_id long").parquet(str(tmp_path / "out"))
+
+    for name, part in (("a", [r for r in rows if r[1] < 9]), ("b", [r for r in rows if r[1] >= 9])):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        got = run()
+    whole = kernels.track(spark.createDataFrame(rows, schema), ["scene"], "frame", box)
+    key = lambda r: (r["scene"], r["frame"], r["x1"], r["track_id"] or 0)
+    assert sorted(map(key, got.collect())) == sorted(map(key, whole.collect())) and any(r["track_id"] for r in got.collect())
