@@ -6,7 +6,8 @@ another place of it. In each order the classes stand sorted; those that agree on
 
 1. Each order is sorted over all machines, a region however large being spread over as many tasks as it fills. Neighbours
    there, also those on either side of a border between tasks, are candidates. Of all orders the pairs with the longest common
-   prefix that connect the classes are confirmed; they connect most groups of copies with about one pair a class.
+   prefix that connect the classes are confirmed; where some fail, the next longest ones that connect what is left follow, for a
+   few rounds. They connect most groups of copies with little more than one pair a class.
 2. Within every region classes that are in different components yet are compared, all with all. A region of more than
    REGION rows of a task is first cut where the common prefixes of neighbours are shortest, deeper and deeper until the parts
    are small; this is where depth adapts.
@@ -51,6 +52,8 @@ REGION = 1024
 SHORT = 32
 FOREST_EDGES = 500_000
 ROWS_A_TASK = 500_000
+#: Rounds in which neighbours are tried, a forest of them at a time.
+NEIGHBOUR_ROUNDS = 4
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _A = np.random.default_rng(20240229).integers(1, 1 << 32, K, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -365,21 +368,25 @@ def _within(column: str):
     return run
 
 
-def _chunks(most: int):
-    """Adds chunk to rows (key, id, component) sorted by key: at most `most` rows of one key each, numbered within the task."""
+def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds to rows (key, id, component) sorted by key the task and the row's number among those of its key in the task."""
+    task, key, number = TaskContext.get().partitionId(), None, 0
+    for b in batches:
+        numbers = []
+        for k in b.column(0).to_pylist():
+            number = number + 1 if k == key else 0
+            key = k
+            numbers.append(number)
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array([task] * len(numbers), pa.int32()), pa.array(numbers, pa.int64())], [*b.schema.names, "task", "number"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, number, key, size = (TaskContext.get().partitionId() + 1) << 32, -1, None, 0
-        for b in batches:
-            chunk = []
-            for k in b.column(0).to_pylist():
-                if k != key or size == most:
-                    key, size, number = k, 0, number + 1
-                size += 1
-                chunk.append(base + number)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(chunk, pa.int64())], [*b.schema.names, "chunk"])
 
-    return run
+def chunked(rows: DataFrame, most: int) -> DataFrame:
+    """Adds chunk to rows (key, id, component): each key's rows in their sorted order, `most` to a chunk whatever tasks they lie in."""
+    numbered = cut(by_range(rows, rows.count(), "key", "id").mapInArrow(_numbers, "key long, id long, component long, task int, number long"))
+    counts = numbered.groupBy("key", "task").agg(F.count("*").alias("n"))  # one row a key and task
+    before = (F.sum("n").over(Window.partitionBy("key").orderBy("task")) - F.col("n")).alias("before")
+    placed = numbered.join(counts.select("key", "task", before), ["key", "task"])
+    return placed.select("key", "id", "component", F.floor((F.col("before") + F.col("number")) / most).alias("chunk"))
 
 
 def rest_groups(rows: DataFrame, region: int) -> DataFrame:
@@ -390,9 +397,8 @@ def rest_groups(rows: DataFrame, region: int) -> DataFrame:
     per = rows.groupBy("key", "component").agg(F.count("*").alias("c"))
     most = per.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("giant"), F.count("*").alias("n")).where("n > 1").select("key", "giant")
     x = cut(rows.join(most, "key"))
-    out = x.where("component <> giant").select("key", "id", "component")
-    out = cut(by_range(out, out.count(), "key", "id").mapInArrow(_chunks(region), "key long, id long, component long, chunk long"))
-    groups = out.select("key", "chunk").distinct().join(x.select("key", "block").distinct(), "key").withColumn("group", F.xxhash64("chunk", "block"))
+    out = cut(chunked(x.where("component <> giant").select("key", "id", "component"), region))
+    groups = out.select("key", "chunk").distinct().join(x.select("key", "block").distinct(), "key").withColumn("group", F.xxhash64("key", "chunk", "block"))
     members = x.join(groups, ["key", "block"]).select(F.col("group").alias("key"), "id", "component")
     asking = out.join(groups, ["key", "chunk"]).select(F.col("group").alias("key"), "id", "component")
     return members.union(asking).distinct()
@@ -427,7 +433,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the edges of a task those that join two trees, in the order in which they come."""
+    """Of pairs (a, b, component of a, of b) those that join two trees of components, in the order in which they come."""
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -440,7 +446,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         keep = []
-        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             x, y = find(a), find(b)
             if x != y:
                 parent[x] = y
@@ -448,14 +454,38 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], ["a", "b"])
 
 
+def ordered_pairs(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b, prefix), the larger id first, with the longest prefix that they share anywhere."""
+    return cut(pairs.where("a <> b").groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.max("prefix").alias("prefix")))
+
+
 def forest_of(pairs: DataFrame) -> DataFrame:
-    """Pairs(a, b, prefix) that connect what all of them connect, longer common prefixes first: about one pair a node.
+    """Pairs (a, b) of pairs (a, b, prefix, ca, cb) that connect what all of them connect, longer common prefixes first.
 
-    A task sees FOREST_EDGES pairs, so what two tasks connect twice is kept twice.
+    ca and cb are the components that are known already; about one pair for each of them is kept. A task sees FOREST_EDGES pairs,
+    so what two tasks connect twice is kept twice.
     """
-    p = cut(pairs.where("a <> b").groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.max("prefix").alias("prefix")))
-    tasks = max(1, -(-p.count() // FOREST_EDGES))
-    return cut(p.repartition(tasks, "b").sortWithinPartitions(F.desc("prefix"), "b", "a").mapInArrow(_forest, "a long, b long"))
+    tasks = max(1, -(-pairs.count() // FOREST_EDGES))
+    dealt = pairs.repartition(tasks, "cb").sortWithinPartitions(F.desc("prefix"), "b", "a").select("a", "b", "ca", "cb")
+    return cut(dealt.mapInArrow(_forest, "a long, b long"))
+
+
+def neighbour_links(pairs: DataFrame, exact: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(links, components) of neighbours (a, b, prefix) and exact links: each round confirms a forest of pairs that are untried."""
+    left, links = ordered_pairs(pairs).withColumns({"ca": F.col("a"), "cb": F.col("b")}), exact
+    for n in range(NEIGHBOUR_ROUNDS):
+        kept = forest_of(left)
+        links = links.union(confirmed(kept, sets))
+        comps = components(links)
+        if n + 1 == NEIGHBOUR_ROUNDS:
+            break
+        untried = left.select("a", "b", "prefix").join(kept, ["a", "b"], "left_anti")
+        for side in ("a", "b"):
+            untried = untried.join(comps.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
+        left = cut(untried.where("ca <> cb"))
+        if not left.limit(1).count():
+            break
+    return links, comps
 
 
 def links_within(rows: DataFrame, sets: DataFrame) -> DataFrame:
@@ -472,7 +502,7 @@ def links_within(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
     rows = cut(rows)
     found = named(rows, "short")
-    kept = forest_of(found.select("a", "b", F.lit(0).alias("prefix")))
+    kept = forest_of(ordered_pairs(found.select("a", "b", F.lit(0).alias("prefix"))).withColumns({"ca": F.col("a"), "cb": F.col("b")}))
     links = confirmed(kept, sets)
     if links.count() == kept.count():
         return links
@@ -517,11 +547,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     along = Window.orderBy("part", "block")  # two rows a task
     border = forest.where("key is null").select("id", "block", F.substring("place", 1, _HEAD).alias("head"), F.lag("id").over(along).alias("before"), F.lag(F.substring("place", 1, _HEAD)).over(along).alias("last"))
     border = border.where("block = 0 and head = last").select(F.col("id").alias("a"), F.col("before").alias("b"), F.lit(DEPTH).alias("prefix"))
-    links = confirmed(forest_of(inside.union(border)), sets).union(exact)
+    links, comps = neighbour_links(inside.union(border), exact, sets)
 
     # all with all within the parts of regions, and then parts with each other
     regions = forest.where("key is not null").select("key", "part", "block", "id")
-    at = stored(_with_components(regions, components(links)))
+    at = stored(_with_components(regions, comps))
     parts = at.select(F.col("part").alias("key"), "id", "component")
     links = links.union(links_within(_several(parts), sets))
     cut_up = regions.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("key")
