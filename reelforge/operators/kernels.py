@@ -54,37 +54,45 @@ def hulls(df: DataFrame, keys: list[str], x: str, y: str, schema: str) -> DataFr
 def assigned(cost: np.ndarray, limit: float) -> list[tuple[int, int]]:
     """The assignment of rows to columns of least cost, where leaving a row or a column alone costs half the limit.
 
-    So a pair is taken only below the limit. Shortest augmenting paths over the square matrix that has a partner of its own for
-    every row and column.
+    So a pair is taken only below the limit. Where every row has a column of its own that is its cheapest, that is it; else shortest
+    augmenting paths, over columns and one partner more for every row that stands for being alone.
     """
-    n, m = cost.shape
-    size = n + m
-    full = np.full((size, size), limit / 2)
-    full[:n, :m], full[n:, m:] = cost, 0.0
-    u, v = np.zeros(size + 1), np.zeros(size + 1)  # prices of rows and columns
-    row_of = np.zeros(size + 1, int)  # row that a column has, 0 for none; both count from 1
-    for i in range(1, size + 1):
-        row_of[0], j = i, 0
-        slack, came, used = np.full(size + 1, np.inf), np.zeros(size + 1, int), np.zeros(size + 1, bool)
+    rows = np.flatnonzero((cost < limit).any(axis=1))
+    best = cost[rows].argmin(axis=1)
+    if len(set(best.tolist())) == len(rows):
+        return list(zip(rows.tolist(), best.tolist(), strict=True))
+    columns = np.flatnonzero((cost < limit).any(axis=0))
+    part = cost[np.ix_(rows, columns)]
+    n, m = part.shape
+    full = np.full((n, m + n), np.inf)
+    full[:, :m] = np.where(part < limit, part - limit / 2, np.inf)
+    full[np.arange(n), m + np.arange(n)] = limit / 2
+    u, v = [0.0] * n, np.zeros(m + n)  # prices of rows and columns
+    row_of = [-1] * (m + n)
+    for i in range(n):
+        slack, came, used = np.full(m + n, np.inf), np.full(m + n, -1), np.zeros(m + n, bool)
+        r, at, path = i, -1, []
         while True:
-            used[j] = True
-            r = row_of[j]
-            reduced = full[r - 1] - u[r] - v[1:]
-            better = ~used[1:] & (reduced < slack[1:])
-            slack[1:][better] = reduced[better]
-            came[1:][better] = j
-            free = np.flatnonzero(~used[1:]) + 1
-            to = free[slack[free].argmin()]
-            step = slack[to]
-            u[row_of[used]] += step
+            reduced = full[r] - u[r] - v
+            better = ~used & (reduced < slack)
+            slack[better], came[better] = reduced[better], at
+            j = int(np.where(used, np.inf, slack).argmin())
+            step = float(slack[j])
+            u[i] += step
+            for k in path:
+                u[row_of[k]] += step
             v[used] -= step
             slack[~used] -= step
-            j = to
-            if row_of[j] == 0:
+            if row_of[j] < 0:
                 break
-        while j:
-            row_of[j], j = row_of[came[j]], came[j]
-    return sorted((int(row_of[j]) - 1, j - 1) for j in range(1, m + 1) if 0 < row_of[j] <= n and cost[row_of[j] - 1, j - 1] < limit)
+            used[j] = True
+            path.append(j)
+            r, at = row_of[j], j
+        while j >= 0:
+            k = int(came[j])
+            row_of[j] = i if k < 0 else row_of[k]
+            j = k
+    return sorted((int(rows[row_of[j]]), int(columns[j])) for j in range(m) if row_of[j] >= 0)
 
 
 def iou_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -26,10 +26,21 @@ _ARCHIVE = "WITH archive(path) AS (" + " UNION ALL ".join(f"SELECT replace('{nam
 
 def _archive(spark: SparkSession) -> tuple[DataFrame, str]:
     """(files of the archive by their path below it, its folder)."""
+    app = spark.sparkContext.applicationId
+    if app not in _MADE:
+        _MADE[app] = _write_archive(spark)
+    base = _MADE[app]
+    return src.list_files(spark, base, ("mp4", "webm", "jpeg", "png", "mp3", "flac", "pdf", "txt", "json")).select(src.within(F.col("path"), base).alias("path")), base
+
+
+#: The archive's folder by application, written once for each.
+_MADE: dict[str, str] = {}
+
+
+def _write_archive(spark: SparkSession) -> str:
     names = [(n.format(i), b"-") for n, k in _NAMES for i in range(0, _N, k)]
     names += [(f"clips/c{i}.json", f'{{"uuid": "u{i}", "source_video": "v{i}.MP4", "start_frame": {i * 10}, "end_frame": {i * 10 + 9}}}'.encode()) for i in range(_N)]
-    base = src.put_files(spark, src.scratch(spark, "archive"), names)
-    return src.list_files(spark, base, ("mp4", "webm", "jpeg", "png", "mp3", "flac", "pdf", "txt", "json")).select(src.within(F.col("path"), base).alias("path")), base
+    return src.put_files(spark, src.scratch(spark, "archive"), names)
 
 
 def _of_kind(kind: str):

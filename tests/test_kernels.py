@@ -104,7 +104,7 @@ def test_text_and_time_expressions(spark):
         text.stem(F.lit("a/b/clip.tar.mp4")).alias("stem"), text.stem(F.lit(".hidden")).alias("hidden"), text.parent_prefix(F.lit("a/b/x.mp4")).alias("prefix"), text.parent_prefix(F.lit("x.mp4")).alias("bare"),
         text.word_count(F.lit(" a b\n c ")).alias("words"), text.strip_len(F.lit(" x y\n")).alias("strip"), text.clip_type(F.lit("D/Filtered_faces")).alias("kind"), text.language_or_unknown(F.lit(" ")).alias("lang"),
         times.elapsed_label(F.lit(3723)).alias("elapsed"), times.clip_name(F.lit("v"), F.lit(61), F.lit(3661)).alias("name"), times.inferred_fps(F.lit(None).cast("double"), F.lit(0), F.lit(50), F.lit(0.0), F.lit(2.0)).alias("fps"),
-        scores.pose_quality(F.lit(60.0)).alias("pose"), scores.covering_quality(F.lit(1.0)).alias("covered"), text.script_of(F.lit("rus")).alias("script"), text.normal_separators(F.lit("a\\b")).alias("sep"),
+        scores.pose_quality(F.lit(60.0)).alias("pose"), scores.covering_quality(F.lit(1.0)).alias("covered"), text.script_of(F.array(F.lit("eng"), F.lit("RUS"))).alias("script"), text.normal_separators(F.lit("a\\b")).alias("sep"),
     ).first()
     assert row.asDict() == {
         "stem": "clip.tar", "hidden": ".hidden", "prefix": "a__b__", "bare": "", "words": 3, "strip": 3, "kind": "filtered", "lang": "und", "elapsed": "1h 2m 3s", "name": "v_01m01s-61m01s.mp4", "fps": 25.0,
