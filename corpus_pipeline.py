@@ -6,6 +6,9 @@ own input and survives the loss of executors.
 
 run() removes what a stage leaves in the shared folder once the next stage is written.
 
+Stages that run Python bound the bytes of Arrow batches (`bound_batches`) for the session that they are given: their results are
+lazy, so the setting has to hold until they are written. run() puts the earlier setting back.
+
 Defined cases, for every stage: an empty table gives an empty one; null and empty texts stay documents (they are not toxic
 by themselves, linked with nothing, hold no secret and have size 0, which makes their copies a matter of their source's
 rate); very long texts are worked on whole; a null doc_id or source is a value of its own; of repeated rows near_dedup keeps
@@ -15,16 +18,30 @@ one; ties go to the least doc_id; columns other than those of documents, whateve
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelforge.llm import minhash, mixing, packing, secrets, toxicity
-from reelforge.llm.common import crc_of_id, intermediates, remove, shared_dir, table
+from reelforge.llm.common import BATCH_SETTING, bound_batches, crc_of_id, intermediates, remove, shared_dir, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def in_small_batches(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage, with texts handed to Python in batches of bounded bytes."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@in_small_batches
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that the classifier scores 0.5 or more; the classifier learns from labels not held out.
 
@@ -35,6 +52,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, model)
 
 
+@in_small_batches
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the least doc_id of each group of near copies.
 
@@ -44,6 +62,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return minhash.keep_first(docs)
 
 
+@in_small_batches
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in texts by a mark; all documents stay, null texts as they are, and n_chars is counted anew."""
     return secrets.redact(docs)
@@ -55,6 +74,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_")).drop("_")
 
 
+@in_small_batches
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs token pieces of all documents into sequences; a copy is packed as a document of its own, an empty text as its end id."""
 
@@ -81,11 +101,15 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies all stages to documents."""
     docs, base, before = table(spark, sf_dir, "documents").select(*COLUMNS), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}", None
-    for name, stage in STAGES:
-        path = f"{base}/{name}"
-        with intermediates(spark):
-            stage(spark, docs, sf_dir).write.parquet(path)
-        if before:
-            remove(spark, before)
-        docs, before = spark.read.parquet(path), path
+    earlier = spark.conf.get(BATCH_SETTING)
+    try:
+        for name, stage in STAGES:
+            path = f"{base}/{name}"
+            with intermediates(spark):
+                stage(spark, docs, sf_dir).write.parquet(path)
+            if before:
+                remove(spark, before)
+            docs, before = spark.read.parquet(path), path
+    finally:
+        spark.conf.set(BATCH_SETTING, earlier)
     return docs

@@ -1,10 +1,11 @@
 import os
 import random
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from reelforge.llm.common import shared_dir
+from reelforge.llm.common import BATCH_BYTES, BATCH_SETTING, shared_dir
 from tests.llm.helpers import EXTRA, SCHEMA, documents, edge_docs, words
 
 
@@ -75,3 +76,42 @@ def test_run_leaves_its_result_only(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
     (new,) = set(os.listdir(base)) - before
     assert os.listdir(f"{base}/{new}") == ["packing"]
+
+
+@pytest.fixture
+def batch_setting(spark):
+    earlier = spark.conf.get(BATCH_SETTING)
+    yield earlier
+    spark.conf.set(BATCH_SETTING, earlier)
+
+
+def _sizes(batches):
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64()), pa.array([b.nbytes], pa.int64())], ["n", "size"])
+
+
+@pytest.mark.parametrize("name", ["toxicity", "near_dedup", "secrets", "packing"])
+def test_texts_reach_python_in_bounded_batches(spark, tmp_path, batch_setting, name):
+    """What a task reads must not be one batch; a text beyond the bound ends its batch and stays whole."""
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    texts = documents(spark, [(i, f"{i} " * 1000) for i in range(1000, 3000)] + [(9, "x" * 2 * BATCH_BYTES)]).coalesce(1)
+    dict(corpus_pipeline.STAGES)[name](spark, documents(spark, [(1, "some words")]), str(tmp_path))
+    got = texts.mapInArrow(_sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in got) == 2001 and sum(r["size"] for r in got) > 2000 * 5000
+    *others, longest = sorted(r["size"] for r in got)
+    assert others[-1] < 1.1 * BATCH_BYTES and 2 * BATCH_BYTES <= longest < 3.1 * BATCH_BYTES
+    spark.conf.set(BATCH_SETTING, "64k")
+    dict(corpus_pipeline.STAGES)[name](spark, documents(spark, [(1, "some words")]), str(tmp_path))
+    assert spark.conf.get(BATCH_SETTING) == "64k"
+
+
+def test_run_puts_the_batch_setting_back_and_batches_change_no_row(spark, tmp_path, batch_setting):
+    edge_docs(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(4, 1, 0), (7, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    of_one_batch = []
+    for size in (batch_setting, "100b"):  # a batch a row in the second run
+        spark.conf.set(BATCH_SETTING, size)
+        of_one_batch.append(sorted(map(str, corpus_pipeline.run(spark, str(tmp_path)).select(*columns).collect())))
+        assert spark.conf.get(BATCH_SETTING) == size
+    assert of_one_batch[0] == of_one_batch[1] and len(of_one_batch[0]) > 20
