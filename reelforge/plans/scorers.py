@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from reelforge.sources.tables import bound_batches
+
 PERSON_DETECTOR = "boxes array<array<double>>, scores array<double>"
 POSE_ESTIMATOR = "keypoints array<array<double>>, keypoint_scores array<double>"
 FACE_SCORER = "score double"
@@ -21,6 +23,8 @@ FACE_QUALITY = ", ".join(f"{m} double" for m in OFIQ_MEASURES)
 TRANSCRIBER = "transcription string, language string, segments array<struct<start:double,end:double,text:string>>"
 DOCUMENT_EXTRACTOR = "text string, extraction_method string, page_count int, word_count bigint, char_count bigint"
 N_KEYPOINTS = 133
+#: Most media that a scorer gets at once: a row of results can be far larger than its medium.
+SCORED_ROWS = 256
 
 
 class Scorer(Protocol):
@@ -32,8 +36,10 @@ class Scorer(Protocol):
 def score(df: DataFrame, make: Callable[[], Scorer], media: str, schema: str, keep: list[str]) -> DataFrame:
     """Applies make() (called once per task) to the media column; keep names the columns carried along.
 
-    Adds error: null, or why the scorer failed on a medium, whose results are null then; the job goes on.
+    Adds error: null, or why the scorer failed on a medium, whose results are null then; the job goes on. What a task holds is bounded by
+    the bytes of a batch of media and by SCORED_ROWS results, whatever the table's size.
     """
+    bound_batches(df.sparkSession)
 
     def one(scorer: Scorer, medium) -> pd.DataFrame:
         try:
@@ -45,7 +51,7 @@ def score(df: DataFrame, make: Callable[[], Scorer], media: str, schema: str, ke
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = make()
-        for pdf in parts:
+        for pdf in (p.iloc[at : at + SCORED_ROWS] for p in parts for at in range(0, len(p), SCORED_ROWS)):
             try:
                 out = scorer(pdf[media]).reset_index(drop=True).assign(error=None)
             except Exception:  # some medium of the batch: each by itself

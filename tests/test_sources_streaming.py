@@ -95,6 +95,20 @@ def test_scorer_failures_become_nulls(spark):
     assert got[2] is None and got[1] == got[3] and 0 <= got[1] <= 100
 
 
+def test_scorers_get_media_in_bounded_batches(spark):
+    """Few rows where media are small, few bytes where they are large: neither grows with the table."""
+    from reelforge.plans import scorers
+
+    class Told:
+        def __call__(self, media):
+            return pd.DataFrame({"n": [len(media)] * len(media), "size": [sum(map(len, media))] * len(media)})
+
+    df = spark.range(0, 3000, 1, 1).selectExpr("id", "cast(repeat('x', case when id < 1000 then 40000 else 10 end) as binary) as media")
+    got = scorers.score(df, Told, "media", "n long, size long", ["id"]).collect()
+    assert sorted(r["id"] for r in got) == list(range(3000))
+    assert max(r["n"] for r in got) <= 256 and max(r["size"] for r in got) < 3 << 20
+
+
 def test_stateful_segments_resume(spark, tmp_path):
     def frames(name, rows):
         pd.DataFrame([(u, pd.Timestamp("2024-01-01") + pd.Timedelta(seconds=s)) for u, s in rows], columns=["user", "ts"]).to_parquet(tmp_path / "in" / f"{name}.parquet", coerce_timestamps="us")
