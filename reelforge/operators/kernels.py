@@ -9,46 +9,73 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _half(points: list[list[float]]) -> list[list[float]]:
+    """One side of a hull over sorted points, without its last one."""
+    h: list[list[float]] = []
+    for q in points:
+        while len(h) > 1 and (h[-1][0] - h[-2][0]) * (q[1] - h[-2][1]) - (h[-1][1] - h[-2][1]) * (q[0] - h[-2][0]) <= 0:
+            h.pop()
+        h.append(q)
+    return h[:-1]
+
+
 def convex_hull(points: np.ndarray) -> np.ndarray:
     """Monotone chain, counter-clockwise from the lowest x; fewer than three points give none."""
     p = np.unique(points, axis=0)
     if len(p) < 3:
         return p[:0]
+    return np.array(_half(p.tolist()) + _half(p[::-1].tolist()))
 
-    def half(seq):
-        h: list[np.ndarray] = []
-        for q in seq:
-            while len(h) > 1 and (h[-1][0] - h[-2][0]) * (q[1] - h[-2][1]) - (h[-1][1] - h[-2][1]) * (q[0] - h[-2][0]) <= 0:
-                h.pop()
-            h.append(q)
-        return h[:-1]
 
-    return np.array(half(p) + half(p[::-1]))
+def _below(group: np.ndarray, x: np.ndarray, y: np.ndarray, rounds: int = 8) -> np.ndarray:
+    """Marks points, sorted by group and x, that may be corners of their group's lower hull. Those on or above a chord of two neighbours never are."""
+    at = np.arange(len(x))
+    for _ in range(rounds):
+        a, b, c = at[:-2], at[1:-1], at[2:]
+        out = (group[a] == group[c]) & ((x[b] - x[a]) * (y[c] - y[a]) - (y[b] - y[a]) * (x[c] - x[a]) <= 0)
+        if not out.any():
+            break
+        at = np.delete(at, np.flatnonzero(out) + 1)
+    return np.isin(np.arange(len(x)), at, assume_unique=True)
 
 
 def hulls(df: DataFrame, keys: list[str], x: str, y: str, schema: str) -> DataFrame:
-    """Per key the hull's size and area. Tasks first reduce what they read to hulls, whose points alone are dealt by key."""
-    rows = df.select(*keys, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    """Per key the hull's size and area. Of a column of points only the ends can be corners: those are taken in the JVM, then tasks drop
+    what lies between neighbours, all keys of a batch at once, and the rest is dealt by key."""
+    rows = df.select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    columns = rows.distinct().groupBy(*keys, "_x").agg(F.min("_y").alias("_lo"), F.max("_y").alias("_hi"), F.count("*").alias("_n"))
 
     def reduced(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            for key, group in pdf.groupby(keys, dropna=False):
-                p = np.unique(group[[x, y]].to_numpy(float), axis=0)
-                out = pd.DataFrame(h if len(h := convex_hull(p)) > 2 else p, columns=[x, y])
-                for k, v in zip(keys, key, strict=True):
-                    out.insert(0, k, v)
-                yield out[[*keys, x, y]]
-
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        h = convex_hull(pdf[[x, y]].to_numpy(float))
-        a = 0.5 * abs(float(np.dot(h[:, 0], np.roll(h[:, 1], -1)) - np.dot(h[:, 1], np.roll(h[:, 0], -1)))) if len(h) else 0.0
-        return pd.DataFrame([(*key, len(h), a)], columns=[*keys, "n_hull", "area"])
-
-    return rows.mapInPandas(reduced, rows.schema).groupBy(*keys).applyInPandas(run, schema)
+            group = pdf.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
+            order = np.lexsort((pdf["_x"].to_numpy(), group))
+            pdf, group = pdf.iloc[order], group[order]
+            at = pdf["_x"].to_numpy()
+            n = np.zeros(len(pdf), np.int64)  # a key's first row, which stays, carries the number of its points
+            n[np.flatnonzero(np.diff(group, prepend=-1))] = np.bincount(group, pdf["_n"]).astype(np.int64)
+            yield pdf.assign(_n=n)[_below(group, at, pdf["_lo"].to_numpy()) | _below(group, at, -pdf["_hi"].to_numpy())]
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            lists = batch.column("p")
+            at, flat = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten()
+            xs, los, his, ns = (flat.field(i).to_numpy() for i in range(4))
+            out = []
+            for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                ends = [q for x, lo, hi in zip(xs[i:j].tolist(), los[i:j].tolist(), his[i:j].tolist(), strict=True) for q in ([[x, lo]] if lo == hi else [[x, lo], [x, hi]])]
+                h = _half(ends) + _half(ends[::-1]) if ns[i:j].sum() > 2 else []
+                out.append((len(h), 0.5 * abs(sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(h, h[1:] + h[:1], strict=True))) if h else 0.0))
+            n, area = zip(*out) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(n, pa.int64()), pa.array(area, pa.float64())], [*keys, "n_hull", "area"])
+
+    # a key's row holds what the tasks left of it
+    held = columns.mapInPandas(reduced, columns.schema).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_x", "_lo", "_hi", "_n"))).alias("p"))
+    return held.mapInArrow(run, schema)
 
 
 def assigned(cost: np.ndarray, limit: float) -> list[tuple[int, int]]:

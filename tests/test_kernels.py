@@ -164,3 +164,19 @@ def test_fits_at_an_edge_do_not_depend_on_the_order_of_rows(spark, tmp_path):
     spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
     got = {tuple(r)[1:] for r in catalog.queries()["similarity_fits"](spark, str(tmp_path)).collect()}
     assert got == {(19575, -11, -3771, 1272, 1926, 56596)}
+
+
+def test_hulls_reduce_all_keys_of_a_batch_at_once(spark):
+    """Against the chain over each key's points; one column, two points and points in a row among them. Batches of many keys are not gone through key by key."""
+    rng = np.random.default_rng(6)
+    sets = {k: rng.integers(0, 12, (int(n), 2)) for k, n in enumerate(rng.integers(1, 60, 60))}
+    sets |= {100: np.array([[1, 1], [1, 2], [1, 3]]), 101: np.array([[1, 1], [1, 1], [1, 3]]), 102: np.array([[k, 2 * k] for k in range(9)]), 103: np.array([[3, 3]] * 4)}
+    rows = [(k, float(x), float(y)) for k, p in sets.items() for x, y in p]
+    got = {r["k"]: (r["n"], r["a"]) for r in kernels.hulls(spark.createDataFrame(rows, "k long, x double, y double"), ["k"], "x", "y", "k long, n_hull long, area double").toDF("k", "n", "a").collect()}
+    for k, p in sets.items():
+        h = kernels.convex_hull(p.astype(float))
+        assert got[k] == (len(h), 0.5 * abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(h, np.roll(h, -1, axis=0))))), k
+    many = spark.range(0, 400_000, 1, 4).selectExpr("id * 7919 % 1000 as k", "cast(id * 31 % 47 as double) as x", "cast(id * 17 % 41 as double) as y")
+    assert kernels.hulls(many, ["k"], "x", "y", "k long, n_hull long, area double").count() == 1000
+    group, at = np.repeat(np.arange(60), 9), np.tile(np.arange(9.0), 60)
+    assert kernels._below(group, at, (at - 4) ** 2).all() and kernels._below(group, at, at * 2).sum() == kernels._below(group, at, -((at - 4) ** 2)).sum() == 120
