@@ -5,6 +5,7 @@ They run as grouped Arrow/pandas functions; the group key (video and scene) boun
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -78,6 +79,48 @@ def hulls(df: DataFrame, keys: list[str], x: str, y: str, schema: str) -> DataFr
     return held.mapInArrow(run, schema)
 
 
+#: Cells of an assignment below which lists are faster than arrays.
+SMALL = 400
+
+
+def _small(part: list[list[float]], limit: float) -> list[tuple[int, int]]:
+    """The paths of assigned() over lists: the same steps in the same order."""
+    inf, n, m = float("inf"), len(part), len(part[0])
+    full = [[c - limit / 2 if c < limit else inf for c in row] + [inf] * n for row in part]
+    for i, row in enumerate(full):
+        row[m + i] = limit / 2
+    u, v, row_of, every = [0.0] * n, [0.0] * (m + n), [-1] * (m + n), range(m + n)
+    for i in range(n):
+        slack, came, used = [inf] * (m + n), [-1] * (m + n), [False] * (m + n)
+        r, at, path = i, -1, []
+        while True:
+            row, ur, j, step = full[r], u[r], -1, inf
+            for k in every:
+                if not used[k]:
+                    c = row[k] - ur - v[k]
+                    if c < slack[k]:
+                        slack[k], came[k] = c, at
+                    if slack[k] < step:
+                        j, step = k, slack[k]
+            u[i] += step
+            for k in path:
+                u[row_of[k]] += step
+                v[k] -= step
+            for k in every:
+                if not used[k]:
+                    slack[k] -= step
+            if row_of[j] < 0:
+                break
+            used[j] = True
+            path.append(j)
+            r, at = row_of[j], j
+        while j >= 0:
+            k = came[j]
+            row_of[j] = i if k < 0 else row_of[k]
+            j = k
+    return [(row_of[j], j) for j in range(m) if row_of[j] >= 0]
+
+
 def assigned(cost: np.ndarray, limit: float) -> list[tuple[int, int]]:
     """The assignment of rows to columns of least cost, where leaving a row or a column alone costs half the limit.
 
@@ -91,6 +134,8 @@ def assigned(cost: np.ndarray, limit: float) -> list[tuple[int, int]]:
     columns = np.flatnonzero((cost < limit).any(axis=0))
     part = cost[np.ix_(rows, columns)]
     n, m = part.shape
+    if n * (n + m) <= SMALL:
+        return sorted((int(rows[i]), int(columns[j])) for i, j in _small(part.tolist(), limit))
     full = np.full((n, m + n), np.inf)
     full[:, :m] = np.where(part < limit, part - limit / 2, np.inf)
     full[np.arange(n), m + np.arange(n)] = limit / 2
@@ -130,97 +175,132 @@ def iou_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(union > 0, both / np.where(union > 0, union, 1), 0.0)
 
 
+class _Track:
+    """Middle, size and their velocities; axes share one covariance of value and velocity, as nothing ties them to each other."""
+
+    __slots__ = ("id", "x", "v", "p", "p0", "last", "start", "seen", "velocity")
+
+    def predict(self) -> None:
+        (x, y, w, h), (dx, dy, dw, dh), (a, b, c, d) = self.x, self.v, self.p
+        self.x, self.p = (x + dx, y + dy, w + dw, h + dh), ((a + c) + (b + d) + 1.0, b + d, c + d, d + 0.01)
+
+    def update(self, z: tuple) -> None:
+        a, b, c, d = self.p
+        s = a + 1.0
+        k, g = a / s, b / s
+        miss = [p - q for p, q in zip(z, self.x)]
+        self.x, self.v = tuple([q + k * e for q, e in zip(self.x, miss)]), tuple([q + g * e for q, e in zip(self.v, miss)])
+        self.p = (a - k * a, b - k * b, c - g * a, d - g * b)
+
+
+def _measured(box: list[float]) -> tuple[float, float, float, float]:
+    w, h = box[2] - box[0], box[3] - box[1]
+    return box[0] + w / 2, box[1] + h / 2, w, h
+
+
 class Tracker:
     """Boxes followed over frames: constant-velocity Kalman filter, matched by overlap and by direction of motion.
 
     Tracks seen in the last frame are matched first, then lost ones; a found track's filter is run anew over the
-    straight line between its last and its new box. Tracks unseen for more than max_lost frames end.
+    straight line between its last and its new box. Tracks unseen for more than max_lost frames end. A frame has few
+    boxes, so all is done on plain numbers: calls of array functions took ten times as long.
     """
 
     def __init__(self, min_iou: float = 0.3, max_lost: int = 30, min_hits: int = 2, inertia: float = 0.2):
         self.min_iou, self.max_lost, self.min_hits, self.inertia = min_iou, max_lost, min_hits, inertia
-        self.tracks: list[dict] = []
+        self.tracks: list[_Track] = []
         self.next = 1
 
-    @staticmethod
-    def _measured(box: np.ndarray) -> np.ndarray:
-        w, h = box[2] - box[0], box[3] - box[1]
-        return np.array([box[0] + w / 2, box[1] + h / 2, w, h])
-
-    MOVE = np.eye(8) + np.eye(8, k=4)
-    NOISE = np.diag([1.0] * 4 + [0.01] * 4)
-
-    def _predict(self, t: dict) -> None:
-        t["x"], t["p"] = self.MOVE @ t["x"], self.MOVE @ t["p"] @ self.MOVE.T + self.NOISE
-
-    @staticmethod
-    def _update(t: dict, z: np.ndarray) -> None:
-        s = t["p"][:4, :4] + np.eye(4)
-        k = np.linalg.solve(s, t["p"][:4]).T
-        t["x"], t["p"] = t["x"] + k @ (z - t["x"][:4]), t["p"] - k @ t["p"][:4]
-
-    def _box(self, t: dict) -> np.ndarray:
-        c, s = t["x"][:2], np.maximum(t["x"][2:4], 1e-6)
-        return np.concatenate([c - s / 2, c + s / 2])
-
-    def _match(self, tracks: list[dict], boxes: np.ndarray, free: list[int], frame: int) -> list[tuple[dict, int]]:
+    def _match(self, tracks: list[_Track], boxes: list[list[float]], measured: list[tuple], free: list[int]) -> list[tuple[_Track, int]]:
         if not tracks or not free:
             return []
-        score = iou_matrix(np.array([self._box(t) for t in tracks]), boxes[free])
-        ok = score >= self.min_iou
-        for i, t in enumerate(tracks):
-            if t["velocity"] is not None and ok[i].any():
-                to = np.array([self._measured(boxes[j])[:2] for j in free]) - self._measured(t["last"])[:2]
-                n = np.linalg.norm(to, axis=1)
-                score[i] += self.inertia * (to @ t["velocity"]) / np.where(n > 0, n, 1)
         # a pair that does not overlap enough costs the limit and more, so it is never taken
         most = 1 - self.min_iou + self.inertia + 1e-9
-        cost = np.where(ok, np.minimum(1 - score, most - 1e-9), most + 1)
-        return [(tracks[i], free[j]) for i, j in assigned(cost, most)]
-
-    def step(self, frame: int, boxes: np.ndarray) -> list[tuple[int, int]]:
+        near, areas = [], [max(measured[j][2], 0.0) * max(measured[j][3], 0.0) for j in free]
+        for t in tracks:
+            x, y, w, h = t.x
+            w, h = max(w, 1e-6) / 2, max(h, 1e-6) / 2
+            x1, y1, x2, y2 = x - w, y - h, x + w, y + h
+            area, ok = max(x2 - x1, 0.0) * max(y2 - y1, 0.0), {}
+            for k, j in enumerate(free):
+                b = boxes[j]
+                w, h = (x2 if x2 < b[2] else b[2]) - (x1 if x1 > b[0] else b[0]), (y2 if y2 < b[3] else b[3]) - (y1 if y1 > b[1] else b[1])
+                both = w * h if w > 0 and h > 0 else 0.0
+                union = area + areas[k] - both
+                score = both / union if union > 0 else 0.0
+                if score >= self.min_iou:
+                    if t.velocity is not None:
+                        last, z = t.last, measured[j]
+                        to, up = z[0] - last[0], z[1] - last[1]
+                        n = math.sqrt(to * to + up * up)
+                        score += self.inertia * (to * t.velocity[0] + up * t.velocity[1]) / (n if n > 0 else 1)
+                    ok[k] = min(1 - score, most - 1e-9)
+            if ok:
+                near.append((t, ok))
+        best = [min(ok, key=ok.get) for _, ok in near]  # the first of equal ones
+        if len(set(best)) < len(best):
+            cost = np.full((len(near), len(free)), most + 1)
+            for i, (_, ok) in enumerate(near):
+                for k, c in ok.items():
+                    cost[i, k] = c
+            return [(near[i][0], free[k]) for i, k in assigned(cost, most)]
+        return [(t, free[k]) for (t, _), k in zip(near, best)]
+
+    def step(self, frame: int, boxes: np.ndarray | list[list[float]]) -> list[tuple[int, int]]:
         """(number of box, track) of tracks that are old enough to be shown."""
-        if self.tracks:  # all at once: the filter's matrices are the same
-            x, p = np.array([t["x"] for t in self.tracks]), np.array([t["p"] for t in self.tracks])
-            x, p = x @ self.MOVE.T, self.MOVE @ p @ self.MOVE.T + self.NOISE
-            for t, a, b in zip(self.tracks, x, p, strict=True):
-                t["x"], t["p"] = a, b
-        free, out = list(range(len(boxes))), []
-        for group in ([t for t in self.tracks if t["seen"] == frame - 1], [t for t in self.tracks if t["seen"] < frame - 1]):
-            for t, j in self._match(group, boxes, free, frame):
+        boxes = boxes.tolist() if isinstance(boxes, np.ndarray) else boxes
+        for t in self.tracks:
+            t.predict()
+        measured, free, out = [_measured(b) for b in boxes], list(range(len(boxes))), []
+        for group in ([t for t in self.tracks if t.seen == frame - 1], [t for t in self.tracks if t.seen < frame - 1]):
+            for t, j in self._match(group, boxes, measured, free):
                 free.remove(j)
-                z, gap = self._measured(boxes[j]), frame - t["seen"]
+                z, old, gap = measured[j], t.last, frame - t.seen
                 if gap > 1:
-                    old = self._measured(t["last"])
-                    t["x"], t["p"] = np.concatenate([old, (z - old) / gap]), t["p0"].copy()
+                    t.x, t.v, t.p = old, tuple([(p - q) / gap for p, q in zip(z, old)]), t.p0
                     for k in range(1, gap):
-                        self._predict(t)
-                        self._update(t, old + (z - old) * k / gap)
-                    self._predict(t)
-                move = z[:2] - self._measured(t["last"])[:2]
-                n = float(np.linalg.norm(move))
-                self._update(t, z)
-                t |= {"last": boxes[j], "seen": frame, "velocity": move / n if n > 0 else t["velocity"], "p0": t["p"].copy()}
-                if frame - t["start"] >= self.min_hits:
-                    out.append((j, t["id"]))
+                        t.predict()
+                        t.update(tuple([q + (p - q) * k / gap for p, q in zip(z, old)]))
+                    t.predict()
+                to, up = z[0] - old[0], z[1] - old[1]
+                n = math.sqrt(to * to + up * up)
+                t.update(z)
+                t.last, t.seen, t.p0 = z, frame, t.p
+                if n > 0:
+                    t.velocity = (to / n, up / n)
+                if frame - t.start >= self.min_hits:
+                    out.append((j, t.id))
         for j in free:
-            p = np.diag([10.0] * 4 + [100.0] * 4)
-            self.tracks.append({"id": self.next, "x": np.concatenate([self._measured(boxes[j]), np.zeros(4)]), "p": p, "p0": p.copy(), "last": boxes[j], "start": frame, "seen": frame, "velocity": None})
+            t = _Track()
+            t.id, t.x, t.v, t.p, t.p0, t.last, t.start, t.seen, t.velocity = self.next, measured[j], (0.0,) * 4, (10.0, 0.0, 0.0, 100.0), (10.0, 0.0, 0.0, 100.0), measured[j], frame, frame, None
+            self.tracks.append(t)
             self.next += 1
-        self.tracks = [t for t in self.tracks if frame - t["seen"] <= self.max_lost]
+        self.tracks = [t for t in self.tracks if frame - t.seen <= self.max_lost]
         return sorted(out)
 
+    def follow(self, frames: np.ndarray, boxes: np.ndarray) -> np.ndarray:
+        """The track of each box, -1 without one; rows are sorted by frame, and those without a frame have none."""
+        ids, rows = np.full(len(frames), -1), boxes.tolist()
+        ends = [*(np.flatnonzero(frames[1:] != frames[:-1]) + 1).tolist(), len(frames)] if len(frames) else []
+        for i, j, f in zip([0, *ends], ends, frames[[0, *ends[:-1]]].tolist() if ends else []):
+            if f == f:
+                for k, t in self.step(int(f), rows[i:j]):
+                    ids[i + k] = t
+        return ids
+
+
+def in_order(pdf: pd.DataFrame, frame: str, box: list[str]) -> pd.DataFrame:
+    """Rows by frame, then by box."""
+    return pdf.iloc[np.lexsort([pdf[c].to_numpy(float) if c != frame else pdf[c].to_numpy() for c in (*box[::-1], frame)])].reset_index(drop=True)
+
 
 def track(df: DataFrame, keys: list[str], frame: str, box: list[str], make: Callable[[], Tracker] = Tracker) -> DataFrame:
     """Adds track_id (null while a track is too young) to detections; keys are video and scene."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([frame, *box], kind="stable").reset_index(drop=True)
-        tracker, ids = make(), np.full(len(pdf), -1)
-        for f, rows in pdf.groupby(frame, sort=True):
-            for j, t in tracker.step(int(f), rows[box].to_numpy(float)):
-                ids[rows.index[j]] = t
-        pdf["track_id"] = pd.array(np.where(ids < 0, None, ids), "Int64")
+        pdf = in_order(pdf, frame, box)
+        ids = make().follow(pdf[frame].to_numpy(), pdf[box].to_numpy(float))
+        pdf["track_id"] = pd.arrays.IntegerArray(ids, ids < 0)
         return pdf
 
     return df.groupBy(*keys).applyInPandas(run, f"{', '.join(f'{x.name} {x.dataType.simpleString()}' for x in df.schema.fields)}, track_id long")

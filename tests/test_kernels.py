@@ -180,3 +180,40 @@ def test_hulls_reduce_all_keys_of_a_batch_at_once(spark):
     assert kernels.hulls(many, ["k"], "x", "y", "k long, n_hull long, area double").count() == 1000
     group, at = np.repeat(np.arange(60), 9), np.tile(np.arange(9.0), 60)
     assert kernels._below(group, at, (at - 4) ** 2).all() and kernels._below(group, at, at * 2).sum() == kernels._below(group, at, -((at - 4) ** 2)).sum() == 120
+
+
+def test_assignment_over_lists_is_that_over_arrays(monkeypatch):
+    rng = np.random.default_rng(8)
+    costs = [rng.uniform(0, 1, rng.integers(1, 9, 2)).round(1) for _ in range(200)]
+    lists = [kernels.assigned(c, 0.7) for c in costs]
+    monkeypatch.setattr(kernels, "SMALL", 0)
+    assert lists == [kernels.assigned(c, 0.7) for c in costs]
+
+
+def test_tracker_steps_on_plain_numbers():
+    """The filter against one over whole matrices; a step over few boxes takes well under a millisecond."""
+    import time
+
+    rng = np.random.default_rng(9)
+    move, noise = np.eye(8) + np.eye(8, k=4), np.diag([1.0] * 4 + [0.01] * 4)
+    t = kernels.Tracker(min_iou=0.01)
+    x, p = np.zeros(8), np.diag([10.0] * 4 + [100.0] * 4)
+    for f in range(30):
+        b = np.array([10 + f, 20, 60 + f, 90]) + rng.uniform(-2, 2, 4)
+        z = np.array([(b[0] + b[2]) / 2, (b[1] + b[3]) / 2, b[2] - b[0], b[3] - b[1]])
+        t.step(f, b[None])
+        if f == 0:
+            x[:4] = z
+            continue
+        x, p = move @ x, move @ p @ move.T + noise
+        k = p[:, :4] @ np.linalg.inv(p[:4, :4] + np.eye(4))
+        x, p = x + k @ (z - x[:4]), p - k @ p[:4]
+    assert len(t.tracks) == 1 and np.allclose([*t.tracks[0].x, *t.tracks[0].v], x)
+    frames = [np.column_stack([a := rng.uniform(0, 50, (4, 2)), a + rng.uniform(5, 40, (4, 2))]) for _ in range(300)]
+    best = 1.0
+    for _ in range(3):
+        t, began = kernels.Tracker(max_lost=5), time.process_time()
+        for f, boxes in enumerate(frames):
+            t.step(f, boxes)
+        best = min(best, (time.process_time() - began) / len(frames))
+    assert best < 6e-4
