@@ -5,12 +5,11 @@ from __future__ import annotations
 import pickle
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from reelforge.operators.kernels import Tracker
+from reelforge.operators.kernels import Tracker, in_order
 
 
 def stream_tracks(detections: DataFrame, scene: str, frame: str, box: list[str], make: Callable[[], Tracker] = Tracker) -> DataFrame:
@@ -23,16 +22,13 @@ def stream_tracks(detections: DataFrame, scene: str, frame: str, box: list[str],
 
     def run(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         tracker, last = (pickle.loads(state.get[0]), state.get[1]) if state.exists else (make(), None)
-        pdf = pd.concat(list(parts)).sort_values([frame, *box], kind="stable").reset_index(drop=True)
+        pdf = in_order(pd.concat(list(parts)), frame, box)
         if last is not None:
             pdf = pdf[pdf[frame] > last].reset_index(drop=True)
-        ids = np.full(len(pdf), -1)
-        for f, rows in pdf.groupby(frame, sort=True):
-            for j, t in tracker.step(int(f), rows[box].to_numpy(float)):
-                ids[rows.index[j]] = t
-            last = int(f)
+        ids = tracker.follow(pdf[frame].to_numpy(), pdf[box].to_numpy(float))
+        last = int(known.max()) if len(known := pdf[frame].dropna()) else last
         state.update((pickle.dumps(tracker), last))
-        yield pdf[[scene, frame, *box]].assign(track_id=pd.array(np.where(ids < 0, None, ids), "Int64"))
+        yield pdf[[scene, frame, *box]].assign(track_id=pd.arrays.IntegerArray(ids, ids < 0))
 
     kinds = dict(detections.dtypes)
     out = ", ".join([*(f"{c} {kinds[c]}" for c in (scene, frame, *box)), "track_id long"])
