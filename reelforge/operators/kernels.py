@@ -203,7 +203,7 @@ class Tracker:
 
     Tracks seen in the last frame are matched first, then lost ones; a found track's filter is run anew over the
     straight line between its last and its new box. Tracks unseen for more than max_lost frames end. A frame has few
-    boxes, so all is done on plain numbers: calls of array functions took ten times as long.
+    boxes, so all is done on plain numbers: calls of array functions took eight times as long.
     """
 
     def __init__(self, min_iou: float = 0.3, max_lost: int = 30, min_hits: int = 2, inertia: float = 0.2):
